@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import topn, value_counts
-from weftlink.session import table
+from weftlink.llm import corpus_tokens, packing, topn, value_counts
+from weftlink.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,27 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_counts(spark, d).filter(F.col("mark") != "").select("token", "mark")
 
 
-QUERIES: dict[str, Query] = {"p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_tokens.encode(table(spark, d, "documents"))
+
+
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The texts again, from their ids."""
+    return corpus_tokens.decode(p8_ids(spark, d))
+
+
+def p9_packed(spark: SparkSession, d: str) -> DataFrame:
+    sizes = settle(corpus_tokens.token_counts(table(spark, d, "documents"), dims=3))
+    return packing.pack(sizes, "doc_id", "n_tokens", "vector", 3, 2048)
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are."""
+    each = p9_packed(spark, d).groupBy("container").agg(F.sum("n_tokens").alias("n"))
+    return each.agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.round(F.sum("n") / F.count(F.lit(1)) / 2048, 6).alias("filled"))
+
+
+QUERIES: dict[str, Query] = {"p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill}
 
 _FLAGS = " , ".join(f"max(coalesce({c},0)) AS {c}" for c in topn.WEIGHTS)
 _SCORE = " + ".join(f"{w}*{c}" for c, w in topn.WEIGHTS.items()) + f" + {topn.BONUS}*greatest(" + "+".join(topn.WEIGHTS) + " - 1, 0)"
@@ -48,6 +68,7 @@ c AS (SELECT token, count(*) AS n_rows, count(DISTINCT entity_id) AS n_entities
 m AS (SELECT c.*, CASE WHEN n_entities < 3 THEN 'rare' WHEN n_entities > n * 0.01 THEN 'common' ELSE '' END AS mark FROM c, n)
 """
 ORACLE: dict[str, str] = {
+    "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p3_topn": _TOPN + "SELECT s1_id, source, other_id, score, rank FROM r WHERE rank <= 5",
     "p3_found": _TOPN + "SELECT s1_id, other_id FROM r WHERE rank <= 5",
     "p5_counts": _COUNTS + "SELECT token, n_rows, n_entities, mark FROM m",
