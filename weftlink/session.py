@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
+import sys
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +29,29 @@ def local_session(cpus: int = 8, memory: str = "12g", app: str = "weftlink") ->
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    here = Path(__file__).resolve().parent
+    if not here.is_dir():  # already running from an archive
+        return
+    fd, archive = tempfile.mkstemp(prefix="weftlink-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, Path(here.name) / f.relative_to(here))
+    kept = list(sys.path)
+    sc.addPyFile(archive)
+    sys.path[:] = kept  # the driver keeps importing the source tree
+    atexit.register(lambda: Path(archive).unlink(missing_ok=True))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,6 +78,7 @@ def settle(df: DataFrame, *partition_by: str) -> DataFrame:
     read only the columns and partitions they need.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/weftlink/{uuid.uuid4().hex}"
     out = df.write
     if partition_by:
@@ -62,8 +90,10 @@ def settle(df: DataFrame, *partition_by: str) -> DataFrame:
 
 def task_count(spark: SparkSession) -> int:
     """Tasks of a wide stage: the session's shuffle partitions."""
+    ship(spark)
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
