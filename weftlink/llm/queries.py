@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import corpus_tokens, packing, topn, value_counts
+from weftlink.llm import corpus_tokens, name_variants, packing, places, topn, value_counts
 from weftlink.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_variants(spark: SparkSession, d: str) -> DataFrame:
+    """The business of every record of source 2, named by its smallest id."""
+    return name_variants.variants(table(spark, d, "train_source2"), "entity_id", "business_name", "business_address")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return name_variants.cluster_pairs(p2_variants(spark, d))
+
+
 def p3_topn(spark: SparkSession, d: str) -> DataFrame:
     pairs = topn.fold_pairs(table(spark, d, "candidates"))
     return topn.top_n(pairs, ["s1_id", "source"], "other_id", "score", 5)
@@ -22,6 +31,19 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_topn(spark, d).select("s1_id", "other_id")
 
 
+def p4_places(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every record of source 3 that has one."""
+    rows = table(spark, d, "train_source3")
+    some = F.max(F.when(F.trim("business_address") != "", F.col("business_address")))
+    one = rows.groupBy("entity_id").agg(some.alias("address")).filter("address IS NOT NULL")
+    return places.places(one, "entity_id", "address").filter("num <> '' AND postal <> '' AND street <> ''").withColumnRenamed("id", "entity_id")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    placed = settle(p4_places(spark, d))
+    return name_variants.cluster_pairs(placed.select(F.col("entity_id").alias("id"), F.concat_ws("|", "postal", "num", "street").alias("cluster")))
+
+
 def p5_counts(spark: SparkSession, d: str) -> DataFrame:
     tokens = table(spark, d, "tokens")
     n = tokens.agg(F.countDistinct("entity_id")).first()[0]
@@ -53,7 +75,7 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.round(F.sum("n") / F.count(F.lit(1)) / 2048, 6).alias("filled"))
 
 
-QUERIES: dict[str, Query] = {"p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill}
+QUERIES: dict[str, Query] = {"p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found, "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill}
 
 _FLAGS = " , ".join(f"max(coalesce({c},0)) AS {c}" for c in topn.WEIGHTS)
 _SCORE = " + ".join(f"{w}*{c}" for c, w in topn.WEIGHTS.items()) + f" + {topn.BONUS}*greatest(" + "+".join(topn.WEIGHTS) + " - 1, 0)"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 
 # Spellings of street types, units, landmarks and legal forms.
 STREET_TYPES = ["road", "street", "lane", "marg", "drive", "boulevard", "avenue", "rue", "chemin"]
@@ -28,7 +27,6 @@ _SPLIT_PIN = re.compile(r"(?<![\d,] )(?<!\d)(\d{3}) (\d{3})(?!\d)")
 _DOTTED = re.compile(r"\b([a-z])\.(?=[a-z]\b)")
 
 
-@lru_cache(maxsize=100_000)
 def fold(text: str) -> str:
     """Lower case without accents."""
     if text.isascii():
@@ -131,9 +129,10 @@ def _numbers(t: list[str], numbers: list[tuple[str, int]]) -> tuple[str, str]:
             postal = fives.pop(0)[0]
     rest += [f for f in fives if f[0] != postal]
     rest.sort(key=lambda r: r[1])
-    if len(rest) > 1:  # a number behind '#', 'H.No.', 'Plot', 'S.No' is the house number only if no other is
-        plain = [r for r in rest if not (r[1] and t[r[1] - 1] == "#" or r[1] > 1 and t[r[1] - 1] == "no" and t[r[1] - 2] == "s")]
-        rest = plain or rest
+    if len(rest) > 1:  # a number behind 'S.No' or '#' is the house number only if no other is
+        survey = lambda i: i > 1 and t[i - 1] == "no" and t[i - 2] == "s"
+        rest = [r for r in rest if not survey(r[1])] or rest
+        rest = [r for r in rest if not (r[1] and t[r[1] - 1] == "#")] or rest
         near = [r for r in rest if r[1] + 1 < len(t) and t[r[1] + 1][0] in ",abcdefghijklmnopqrstuvwxyz" and t[r[1] - 1] != "sector"]
         rest = near or rest
     return (rest[0][0] if rest else ""), postal
