@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import corpus_tokens, name_variants, packing, places, topn, value_counts
+from weftlink.llm import corpus_tokens, name_variants, packing, places, record_match, topn, value_counts
 from weftlink.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_counts(spark, d).filter(F.col("mark") != "").select("token", "mark")
 
 
+def p6_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Every matched pair of source 1 and sources 2 and 3, with its confidence."""
+    others = table(spark, d, "train_source2").unionByName(table(spark, d, "train_source3"))
+    pairs = record_match.match(table(spark, d, "train_source1"), others, "entity_id", "business_name", "business_address")
+    return pairs.withColumnsRenamed({"a": "s1_id", "b": "other_id"})
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    known = table(spark, d, "train_matches").select(F.col("source1_entity_id").alias("s1_id"))
+    return p6_matches(spark, d).join(known, "s1_id", "left_anti").select("s1_id", "other_id")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return corpus_tokens.encode(table(spark, d, "documents"))
 
@@ -75,7 +87,7 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.round(F.sum("n") / F.count(F.lit(1)) / 2048, 6).alias("filled"))
 
 
-QUERIES: dict[str, Query] = {"p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found, "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill}
+QUERIES: dict[str, Query] = {"p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found, "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p6_matches": p6_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill}
 
 _FLAGS = " , ".join(f"max(coalesce({c},0)) AS {c}" for c in topn.WEIGHTS)
 _SCORE = " + ".join(f"{w}*{c}" for c, w in topn.WEIGHTS.items()) + f" + {topn.BONUS}*greatest(" + "+".join(topn.WEIGHTS) + " - 1, 0)"
