@@ -38,18 +38,16 @@ MOST_LABELS, MOST_ENTRIES = 50_000, 200_000
 
 # Words of abusive passages and of address, in four languages.
 LISTS = {
-    "insult": """idiot idiots moron cretin cretins imbecile imbeciles scum bastard bastards arsehole arseholes bitch whore slut harlot swine sow cur curs toad louse maggot maggots turd turds shit filth filthy stinking rotten worthless brainless stupid ugly
-        witted wits baboon mule cow gutless snivelling pathetic lousy lying thief wretch dung degenerate degenerates cripples half damned
-        salaud connard connards truie gueule abrutie abruti menteur sale pute putain ordure puantes
-        puta putas cabron mentiroso cerda cerdo asquerosa asqueroso basura imbecil verguenza pandilla sucias
-        arschloch arschlochern schwein dreckiges dreckigen verlogenes maul hure schlampe miststuck idiot schmutzige""",
-    "threat": """burn hang drown strangle shoot thrash horsewhip whip whipped beat kick slap spit dragged cut throat break bone cheer weep cesspit drain sack river served laugh begs teach silence
-        brule jette puits coups fouet chasser pendre tuer partir cara colgarlo arbol palos ratas echar matar
-        schlage zahne knuppeln aufgeknupft getrieben erschlagen verbrennen""",
-    "group": """tribe vermin rats breed cleansed kind sort people inferior disease animals blood mix schools wage steal stink lie race breeding god priests
-        vermine betes remede petits bande tas gente crias pan ungeziefer balger menschen gesindel pack""",
-    "sexual": """naked thighs kiss ride hot hard thrust moaned begging legs spreads dress clothes stripped bare body cock longed pictures women wife refuses
-        nues obscenes photographies femmes desnudas calientes laminas mujeres nackter frauen weiber bilder""",
+    "insult": """idiot idiots moron morons cretin cretins imbecile imbeciles scum bastard bastards arsehole arseholes bitch whore whores slut sluts harlot swine swines sow cur curs louse lousy maggot maggots turd turds
+        shit filth filthy stinking rotten worthless brainless stupid ugly gutless pathetic lying wretch wretched dung degenerate degenerates cripples damned fool coward
+        salaud salauds connard connards truie gueule abruti abrutie menteur sale pute putain ordure ordures puant puantes cochon
+        puta putas puto cabron cabrones mentiroso cerda cerdo asqueroso asquerosa basura imbecil verguenza sucio sucias
+        arschloch arschlochern arsch schwein schweine dreckig dreckiges dreckigen verlogen verlogenes maul hure huren schlampe miststuck schmutzig schmutzige""",
+    "threat": """burn hang drown strangle shoot thrash horsewhip whip whipped beat kick slap spit kill throat bone bones cesspit
+        bruler brule pendre tuer fouet coups chasser noyer matar ahorcar colgar colgarlo quemar palos partir
+        schlagen schlage erschlagen knuppeln aufgeknupft aufhangen verbrennen zahne""",
+    "group": """tribe vermin rats breed breeding cleansed race inferior disease animals kind vermine betes race bande ratas crias gente pandilla ungeziefer balger gesindel pack rasse""",
+    "sexual": """naked nude thighs thrust moaned legs stripped undressed bare breasts cock cunt fuck fucking nue nues obscene obscenes desnuda desnudas desnudo calientes nackt nackte nackter weiber""",
     "you": "you your yours yourself thou thee ye tu te toi ta ton tes vous votre usted ustedes ti du dich dir dein deine deinen euch",
 }
 # Signs that stand for letters, in misread or masked words.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import corpus_tokens, name_variants, packing, places, record_match, topn, value_counts
+from weftlink.llm import abuse, corpus_tokens, name_variants, packing, places, record_match, topn, value_counts
 from weftlink.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,7 +87,21 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.round(F.sum("n") / F.count(F.lit(1)) / 2048, 6).alias("filled"))
 
 
-QUERIES: dict[str, Query] = {"p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found, "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p6_matches": p6_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill}
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scores(table(spark, d, "documents"), table(spark, d, "page_labels"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(p10_scores(spark, d), table(spark, d, "documents"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_scores(spark, d).filter("score >= 0.5").select("doc_id")
+
+
+QUERIES: dict[str, Query] = {
+    "p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found,
+    "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p6_matches": p6_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill, "p10_scores": p10_scores, "p10_rates": p10_rates, "p10_found": p10_found}
 
 _FLAGS = " , ".join(f"max(coalesce({c},0)) AS {c}" for c in topn.WEIGHTS)
 _SCORE = " + ".join(f"{w}*{c}" for c, w in topn.WEIGHTS.items()) + f" + {topn.BONUS}*greatest(" + "+".join(topn.WEIGHTS) + " - 1, 0)"
