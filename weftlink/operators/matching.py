@@ -107,23 +107,25 @@ def f05_by_entity(ids: DataFrame, truth: DataFrame, predicted: DataFrame) -> Dat
 
 
 def threshold_curve(ids: DataFrame, truth: DataFrame, scored: DataFrame, grid: list[float] = GRID) -> DataFrame:
-    """(threshold, macro_f05) for the whole grid in one pass.
+    """(threshold, macro_f05) for the whole grid in one pass over the scores.
 
-    Each pair falls to the largest threshold it reaches; counts by entity and threshold are then summed from the top
-    down. Entities without any pair stay in the average.
+    Pairs are counted by entity and the largest threshold they reach, and each count is passed on to the thresholds below.
+    Entities without any pair at a threshold stay in the average: they have 1 there if they have no truth, else 0.
     """
     steps = F.array(*[F.lit(t) for t in grid])
     reached = F.size(F.filter(steps, lambda t: F.col("proba") >= t))
-    marked = label(scored.select("s1_id", "other_id", "proba"), truth).withColumn("k", reached).filter("k > 0")
-    per = marked.groupBy("s1_id", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("tp"))
+    every = ids.select("s1_id").distinct()
     n_true = truth.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n_true"))
-    arrays = per.groupBy("s1_id").agg(F.map_from_entries(F.collect_list(F.struct("k", F.struct("n", "tp")))).alias("m"))  # at most one entry a threshold
-    rows = ids.select("s1_id").distinct().join(n_true, "s1_id", "left").join(arrays, "s1_id", "left")
-    at = rows.select(F.coalesce("n_true", F.lit(0)).alias("n_true"), F.coalesce(F.map_entries("m"), F.array()).alias("e"), F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("k"))
-    above = lambda f: F.aggregate("e", F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["key"] >= F.col("k"), e["value"][f]).otherwise(F.lit(0)).cast("long"))
-    counted = at.select("k", "n_true", above("n").alias("n"), above("tp").alias("tp"))
-    macro = counted.groupBy("k").agg(F.avg(_f05(F.col("tp"), F.col("n"), F.col("n_true"))).alias("f"))
-    return macro.select(F.element_at(steps, F.col("k")).alias("threshold"), F.round("f", 9).alias("macro_f05"))
+    # each pair once; the aggregate also keeps the score's expression from being copied into every comparison
+    pairs = scored.join(every, "s1_id", "left_semi").groupBy("s1_id", "other_id").agg(F.max("proba").alias("proba"))
+    per = label(pairs, truth).withColumn("k", reached).filter("k > 0").groupBy("s1_id", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("tp"))
+    below = per.select("s1_id", F.explode(F.sequence(F.lit(1), "k")).alias("t"), "n", "tp").groupBy("s1_id", "t").agg(F.sum("n").alias("n"), F.sum("tp").alias("tp"))
+    at = below.join(n_true, "s1_id", "left").withColumn("n_true", F.coalesce("n_true", F.lit(0)))
+    sums = at.groupBy("t").agg(F.sum(_f05(F.col("tp"), F.col("n"), F.col("n_true"))).alias("f"), F.count_if(F.col("n_true") == 0).alias("lost"))
+    base = every.join(n_true, "s1_id", "left").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("n_true").isNull()).alias("empty"))
+    points = base.select("all", "empty", F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("t")).join(F.broadcast(sums), "t", "left")  # a row a threshold
+    macro = (F.coalesce("f", F.lit(0.0)) + F.col("empty") - F.coalesce("lost", F.lit(0))) / F.col("all")
+    return points.select(F.element_at(steps, F.col("t")).alias("threshold"), F.round(macro, 9).alias("macro_f05"))
 
 
 def best_threshold(curve: DataFrame) -> DataFrame:
