@@ -11,7 +11,7 @@ letters), and all else is array arithmetic over word codes. The features of a pa
 The lexicon, the trees and the calibration are fitted on at most ``MOST_LABELS`` labelled pages; a labelled page gets its training features from a
 lexicon of the other folds, and the calibration is fitted on a fold the trees have not seen. Counting and scoring cover all pages.
 
-Nulls: a null, empty or blank text has no words and the lowest score. A null source is a source of its own. Votes that tie leave the page
+Nulls: a null, empty or blank text has no words and the lowest score. A null source is a source of its own. Repeated keys are scored row by row. Extra columns are ignored. Votes that tie leave the page
 out of the fit. With fewer than ten pages of either class, the score is the share of fixed-list words in the worst window.
 """
 
@@ -223,16 +223,17 @@ def fit_lexicons(labelled: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", vote: str = "abusive") -> DataFrame:
-    """(key, source, score): the calibrated probability that a page has an abusive passage."""
+def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", vote: str = "abusive") -> DataFrame:
+    """(key, score): the calibrated probability that a page has an abusive passage."""
     spark = docs.sparkSession
     votes = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("key")).agg(F.avg(F.col(vote)).alias("m")).filter("m <> 0.5")
     votes = votes.withColumn("r", F.xxhash64("key")).orderBy("r", "key").limit(MOST_LABELS).select("key", (F.col("m") > 0.5).cast("int").alias("y"), F.pmod("r", F.lit(FOLDS)).cast("int").alias("fold"))
     # at most MOST_LABELS rows, so the side with labels is broadcast
-    known = docs.join(F.broadcast(votes), docs[key].cast("long") == votes["key"]).drop(votes["key"])
-    labelled = settle(words(known, key, text, "y", "fold").dropDuplicates(["key"]))
+    plain = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    known = plain.join(F.broadcast(votes), plain["id"] == votes["key"]).select("id", "t", "y", "fold")
+    labelled = settle(words(known, "id", "t", "y", "fold").dropDuplicates(["key"]))
     by_class = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
-    every = words(docs, key, text, F.col(source).alias("source"))
+    every = words(plain, "id", "t")
     shape = "key long, x array<float>"
     if min(by_class.get(0, 0), by_class.get(1, 0)) < 10:
         empty = spark.sparkContext.broadcast([(np.zeros(0, np.uint64), np.zeros(0))])
@@ -253,5 +254,5 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
 def rates(scored: DataFrame, docs: DataFrame, key: str = "doc_id", source: str = "source", least: float = 0.5) -> DataFrame:
     """(source, pages, abusive, rate) of every source."""
-    by = docs.select(key, source).join(scored, key).groupBy(source)
+    by = docs.select(key, source).join(scored.select(key, "score"), key).groupBy(source)
     return by.agg(F.count(F.lit(1)).alias("pages"), F.sum((F.col("score") >= least).cast("long")).alias("abusive")).withColumn("rate", F.round(F.col("abusive") / F.col("pages"), 6))

@@ -116,16 +116,18 @@ def _numbers(t: list[str], numbers: list[tuple[str, int]]) -> tuple[str, str]:
             rest.append((x, i))
     if fives and not postal:
 
+        several = len(fives) > 1
+
         def is_code(i: int) -> int:
-            before = t[i - 1] if i else ""
-            if before in ("zip", "pin", "f", "-") or (len(before) == 2 and before.isalpha() and before not in ("no",)):
+            before, after = t[i - 1] if i else "", t[i + 1] if i + 1 < len(t) else ""
+            if before in ("zip", "pin") or (len(before) == 2 and before.isalpha() and before != "no"):
                 return 3
-            if i + 1 < len(t) and t[i + 1].isalpha() and len(fives) > 1:
-                return 0  # of two, the one before a word is the house number
-            return 2 if i == len(t) - 1 else 1
+            if several and after.isalpha() and len(after) != 2:
+                return 0  # of two, the one before a street is the house number
+            return 3 if before in ("f", "-") else 2 if i == len(t) - 1 else 1
 
-        fives.sort(key=lambda f: -is_code(f[1]))
-        if len(fives) > 1 or rest or is_code(fives[0][1]) > 1:
+        fives = sorted(fives, key=lambda f: -is_code(f[1]))
+        if several or rest or is_code(fives[0][1]) > 1:
             postal = fives.pop(0)[0]
     rest += [f for f in fives if f[0] != postal]
     rest.sort(key=lambda r: r[1])
