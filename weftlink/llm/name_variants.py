@@ -36,19 +36,17 @@ def variants(df: DataFrame, key: str, name: str, address: str, at_place: float =
     r = settle(records(df, key, name, address))
     p = places(r, "id", "address").withColumnRenamed("id", "pid")
     placed = r.join(p, r["id"] == p["pid"], "left").select("id", "name", F.coalesce("num", F.lit("")).alias("num"), F.coalesce("postal", F.lit("")).alias("postal"), F.coalesce("street", F.lit("")).alias("street"))
-    classes = placed.groupBy("name", "num", "postal", "street").agg(F.min("id").alias("rep"), F.collect_list("id").alias("ids"))
-    classes = settle(classes)
+    placed = settle(placed)
+    same = ["name", "num", "postal", "street"]
+    classes = settle(placed.groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
     freq = spark.sparkContext.broadcast(names.frequencies(classes, "name"))
     whole = (F.col("num") != "") & (F.col("postal") != "") & (F.col("street") != "")
     anchor = F.when(whole, F.concat_ws("|", "postal", "num", "street")).otherwise("")
-    reps = settle(classes.select(F.col("rep").alias("id"), "name", "num", "postal", "street", anchor.alias("anchor"), F.size("ids").alias("n")))
+    reps = settle(classes.select(F.col("rep").alias("id"), "name", "num", "postal", "street", anchor.alias("anchor"), "n"))
     one = names.keyed(reps.filter("anchor <> ''"), freq, PAIR, False)
     a, b = one.alias("a"), one.alias("b")
     near = a.join(b, (F.col("a.anchor") == F.col("b.anchor")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-    edges = names.cosines(_named(near.distinct(), reps), freq).filter(F.col("cos") >= PAIR).select("a", "b", F.col("cos").alias("s"))
-    clusters = settle(average_linkage(edges, at_place, reps.select("id", "n")))
-    known = reps.filter("anchor <> ''").join(clusters, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
-    # records without a place, to the one business whose names are near
+    # records without a place, and all whose names are near
     lone = names.keyed(reps.filter("anchor = ''"), freq, free, True).select(F.col("id").alias("a"), "k")
     every = names.keyed(reps, freq, free, True).select(F.col("id").alias("b"), "k")
     met = _named(lone.join(every, "k").filter("a <> b").select("a", "b").distinct(), reps)
@@ -57,17 +55,23 @@ def variants(df: DataFrame, key: str, name: str, address: str, at_place: float =
     partly = agree("num") & (agree("postal") | agree("street"))
     far = names.cosines(met.filter(~differ("num") & ~differ("postal")), freq).withColumn("cos", F.least(F.lit(1.0), F.col("cos") + F.when(partly, free - at_place).otherwise(0.0)))
     far = settle(far.filter(F.col("cos") >= free).select("a", "b", "cos"))
+    edges = names.cosines(_named(near.distinct(), reps), freq).filter(F.col("cos") >= PAIR).select("a", "b", F.col("cos").alias("s"))
+    unplaced = reps.filter("anchor = ''").select("id")
+    among = far.join(unplaced.withColumnRenamed("id", "a"), "a", "left_semi").join(unplaced.withColumnRenamed("id", "b"), "b", "left_semi")
+    edges = edges.unionByName(among.select("a", "b", F.col("cos").alias("s")))
+    clusters = settle(average_linkage(edges, at_place, reps.select("id", "n")))
+    known = reps.filter("anchor <> ''").join(clusters, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
+    # those to the one business that fits
     fits = far.join(known.select(F.col("id").alias("b"), "cluster"), "b").groupBy("a", "cluster").agg(F.max("cos").alias("cos"))
     order = Window.partitionBy("a").orderBy(F.desc("cos"), "cluster")
     two = fits.withColumn("rn", F.row_number().over(order)).filter("rn <= 2")
     best = two.groupBy("a").agg(F.max(F.when(F.col("rn") == 1, F.col("cluster"))).alias("cluster"), F.max(F.when(F.col("rn") == 1, F.col("cos"))).alias("top"), F.max(F.when(F.col("rn") == 2, F.col("cos"))).alias("second"))
     joined = best.filter("second IS NULL OR top > second + 0.1").select(F.col("a").alias("id"), "cluster")
-    rest = reps.filter("anchor = ''").join(joined, "id", "left_anti")
-    both = far.join(rest.select(F.col("id").alias("a")), "a", "left_semi").join(rest.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b", F.col("cos").alias("s"))
-    among = average_linkage(both, free, reps.select("id", "n"))
-    all_ = known.unionByName(joined).unionByName(rest.join(among, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster")))
-    out = classes.join(all_, classes["rep"] == all_["id"]).select(F.explode("ids").alias("id"), "cluster")
-    return settle(out)
+    rest = reps.filter("anchor = ''").join(joined, "id", "left_anti").join(clusters, "id", "left")
+    all_ = known.unionByName(joined).unionByName(rest.select("id", F.coalesce("cluster", "id").alias("cluster")))
+    # a class of very many copies is one row on this side, so its join can be split
+    named = classes.join(all_.withColumnRenamed("id", "rep"), "rep").select(*same, "cluster")
+    return settle(placed.join(named, same).select("id", "cluster"))
 
 
 def _named(pairs: DataFrame, reps: DataFrame) -> DataFrame:
