@@ -3,6 +3,7 @@ from itertools import combinations
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from weftlink.llm import linkage, name_variants, names, places, record_match
 from weftlink.llm.queries import QUERIES
@@ -125,6 +126,26 @@ def test_match(spark):
     assert record_match.match(first.limit(0), others, "entity_id", "business_name", "business_address").collect() == []
 
 
+def test_matches_do_not_depend_on_the_blocks(spark):
+    cols = "entity_id string, business_name string, business_address string"
+    first = spark.createDataFrame([(i.replace("S2", "S1"), n, a) for i, n, a in PEOPLE if i in ("S2-1", "S2-4", "S2-5") or i >= "S2-9"], cols)
+    copies = [(f"S2-x{i:03}", "Vrilanordi Printing Press", "78, Lake Cross Road, Domanagari 308794") for i in range(120)]
+    others = spark.createDataFrame(copies, cols).unionByName(first.withColumn("entity_id", F.regexp_replace("entity_id", "S1", "S2")))
+    of = lambda n: {tuple(r) for r in record_match.match(first, others, "entity_id", "business_name", "business_address", per_block=n).collect()}
+    small, whole = of(10), of(20_000)  # the run of copies is longer than ten blocks
+    assert small == whole and {(a, b) for a, b, _ in whole} >= {("S1-5", b) for b, _, _ in copies}
+
+
+def test_carried_rows_are_the_nearest():
+    r = random.Random(1)
+    counts = [("k", b, r.choice((0, 0, 0, 1, 3, 9)), 1) for b in range(60)]
+    got = record_match.carried(counts, 6)
+    for ahead in (False, True):
+        for _, at, _, _ in counts:
+            rows = [(b, i) for _, b, n, _ in (counts if ahead else counts[::-1]) if (b > at if ahead else b < at) for i in range(n)]
+            assert [(b, i) for _, b, to, need, x in got if to == at and x == ahead for i in range(min(need, counts[b][2]))] == rows[:6]
+
+
 def links_of(d):
     import pandas as pd
 
