@@ -84,6 +84,23 @@ def test_average_linkage_of_nothing(spark):
     assert linkage.average_linkage(spark.createDataFrame([], "a string, b string, s double"), 0.5).collect() == []
 
 
+def test_average_linkage_keeps_marks_apart(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 1.0)], "a string, b string, s double")
+    sizes = spark.createDataFrame([("a", 1), ("b", 9), ("c", 1)], "id string, n int")
+    marks = spark.createDataFrame([("a", 5, None), ("b", None, None), ("c", 9, None)], "id string, x long, y long")
+    of = lambda m: {r["id"]: r["cluster"] for r in linkage.average_linkage(edges, 0.75, sizes, m).collect()}
+    assert of(None) == {"a": "a", "b": "a", "c": "a"} and of(marks) == {"a": "a", "b": "a", "c": "c"}
+
+
+def test_variants_without_a_place(spark):
+    name = "New Star Gridirippan Consultants Limited"
+    rows = [("a", name, "5, Unknown Road"), ("b", name, None), ("c", name, "9, Unknown Road")]
+    rows += [(f"z{i}", f"Business{chr(97 + i)} Of{chr(97 + i) * 3} Trade", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "entity_id string, business_name string, business_address string")
+    got = {r["id"]: r["cluster"] for r in name_variants.variants(df, "entity_id", "business_name", "business_address").collect()}
+    assert got["a"] == got["b"] != got["c"]
+
+
 def test_prefix_loses_no_pair():
     table = {-1: 50}
     words = ["gridirippan consultants", "gridiripan consultant", "new star traders", "new star sweets", "zz", ""]

@@ -58,8 +58,10 @@ def variants(df: DataFrame, key: str, name: str, address: str, at_place: float =
     edges = names.cosines(_named(near.distinct(), reps), freq).filter(F.col("cos") >= PAIR).select("a", "b", F.col("cos").alias("s"))
     unplaced = reps.filter("anchor = ''").select("id")
     among = far.join(unplaced.withColumnRenamed("id", "a"), "a", "left_semi").join(unplaced.withColumnRenamed("id", "b"), "b", "left_semi")
-    edges = edges.unionByName(among.select("a", "b", F.col("cos").alias("s")))
-    clusters = settle(average_linkage(edges, at_place, reps.select("id", "n")))
+    # no edge joins the two kinds, so one run serves both: an average of ``free`` among these is scaled to ``at_place``
+    edges = edges.unionByName(among.select("a", "b", (F.col("cos") * (at_place / free)).alias("s")))
+    marks = reps.select("id", *[F.when(F.col(c) != "", F.col(c).cast("long")).alias(m) for c, m in (("num", "x"), ("postal", "y"))])
+    clusters = settle(average_linkage(edges, at_place, reps.select("id", "n"), marks))
     known = reps.filter("anchor <> ''").join(clusters, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
     # those to the one business that fits
     fits = far.join(known.select(F.col("id").alias("b"), "cluster"), "b").groupBy("a", "cluster").agg(F.max("cos").alias("cos"))
