@@ -15,5 +15,6 @@ def spark():
 
     s = local_session(4, "4g")
     s.sparkContext.setLogLevel("ERROR")
-    s.conf.set("spark.sql.shuffle.partitions", "4")
+    s.conf.set("spark.sql.shuffle.partitions", "2")
+    s.conf.set("spark.sql.codegen.wholeStage", "false")  # tiny tables: compiling would take longer than running
     return s

@@ -53,9 +53,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share, from ``spark.checkpoint.dir``. Where that is unset, a local session gets a temporary one; a cluster must set it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="weftlink-")
         spark.conf.set("spark.checkpoint.dir", root)
         atexit.register(_remove, spark, root)
@@ -71,11 +73,45 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+class Scope:
+    """Tables settled within a ``with`` block; they are deleted at its end, but for the one that is kept.
+
+    A scope inside another keeps its table for the outer one to delete.
+    """
+
+    open: list[Scope] = []
+
+    def __init__(self) -> None:
+        self.paths: dict[str, SparkSession] = {}
+        self.kept = ""
+
+    def __enter__(self) -> Scope:
+        Scope.open.append(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` settled as the result of the block."""
+        out = settle(df)
+        self.kept = out.settled_at
+        return out
+
+    def __exit__(self, *_) -> None:
+        Scope.open.remove(self)
+        for path, spark in self.paths.items():
+            if path != self.kept:
+                _remove(spark, path)
+            elif Scope.open:
+                Scope.open[-1].paths[path] = spark
+            else:
+                atexit.register(_remove, spark, path)
+
+
 def settle(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder as parquet and read it back: a lineage cut that outlives lost executors.
 
     Preferred to ``checkpoint()`` because the files are columnar and compressed, so later steps
-    read only the columns and partitions they need.
+    read only the columns and partitions they need. The size of compressed files says little about the memory their rows
+    take, so the result asks for merge joins: it is never broadcast unless a join says so.
     """
     spark = df.sparkSession
     ship(spark)
@@ -84,8 +120,18 @@ def settle(df: DataFrame, *partition_by: str) -> DataFrame:
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if Scope.open:
+        Scope.open[-1].paths[path] = spark
+    else:
+        atexit.register(_remove, spark, path)
+    back = spark.read.schema(df.schema).parquet(path).hint("merge")
+    back.settled_at = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Delete a settled table that no later step reads."""
+    _remove(df.sparkSession, df.settled_at)
 
 
 def task_count(spark: SparkSession) -> int:
