@@ -1,3 +1,6 @@
+import random
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -37,10 +40,33 @@ def test_held_out_pages(spark):
     assert sum(r["pages"] for r in rates.values()) == len(rows) + len(extra) and None in rates
 
 
-def test_too_few_labels_and_no_pages(spark):
-    docs, labels = frames(spark, [(1, FOUL[0], "a"), (2, CALM[0], "a"), (3, None, "a")], [(1, "x", 1), (1, "y", 0)])
+UNSEEN = [
+    "You stupid ugly bitch, I will strangle you and burn your house.", "Tu es une ordure et un menteur, je vais te tuer.",
+    "Eres una basura y un cerdo, te voy a matar.", "Du dreckiges Schwein, ich werde dich erschlagen.",
+]
+HARMLESS = ["You are kindly asked to send your letters to the editor.", "Vous trouverez votre journal chez le libraire.", "Usted puede comprar su pan en la plaza.", "Dein Brief und deine Karte kamen am Montag an."]
+LEARNT = FOUL + ["Salaud, connard, tu es une pute et je vais te frapper.", "Puta asquerosa, eres una mierda, te voy a golpear.", "Arschloch, du Hure, ich will dich schlagen und verbrennen."]
+
+
+def test_sentences_never_seen_in_four_languages(spark):
+    rows, votes, r = [], [], random.Random(1)
+    known = {w for t in UNSEEN for w in re.findall(r"\w+", t.lower())}
+    pick = {k: sorted(set(v.split()) - known) for k, v in abuse.LISTS.items()}
+    for i in range(400):  # abusive words that hardly ever repeat
+        bad = i % 4 == 0
+        foul = f"{r.choice(pick['you'])} {r.choice(pick['insult'])} {r.choice(pick['insult'])}, {r.choice(pick['threat'])}"
+        rows.append((i, " ".join([r.choice(CALM), r.choice(CALM)] + ([foul] if bad else [r.choice(pick["you"])])), "s"))
+        votes.append((i, "x", int(bad)))
+    extra = [(900 + i, f"{CALM[i % 4]} {t}", "s") for i, t in enumerate(UNSEEN + HARMLESS)]
+    docs, labels = frames(spark, rows + extra, votes)
     got = {r["doc_id"]: r["score"] for r in abuse.scores(docs, labels).collect()}
-    assert got[1] > got[2] and got[3] == 0
+    assert min(got[900 + i] for i in range(4)) >= 0.5 > max(got[904 + i] for i in range(4))
+
+
+def test_too_few_labels_and_no_pages(spark):
+    docs, labels = frames(spark, [(1, FOUL[0], "a"), (2, CALM[0], "a"), (3, None, "a")], [(1, "x", 1), (1, "y", 0), (2, "x", 0)])
+    assert {r["doc_id"]: r["score"] for r in abuse.scores(docs, labels).collect()} == {1: None, 2: None, 3: None}
+    assert abuse.rates(abuse.scores(docs, labels), docs).first()["abusive"] is None
     assert abuse.scores(docs.limit(0), labels.limit(0)).collect() == []
 
 
@@ -55,5 +81,11 @@ def test_canonical_folds_misreadings():
     assert abuse.canonical("Fi1thy") == abuse.canonical("filthy") and abuse.canonical("VERMÍN") == abuse.canonical("vermin")
 
 
-def test_table(spark):
-    assert QUERIES["p10_found"](spark, SMALL).columns == ["doc_id"]
+def test_pages_of_the_table(spark):
+    """Scores of every page, once, and higher on pages voted abusive."""
+    d = SMALL.replace("sf0.001", "sf0.01")
+    scores = QUERIES["p10_scores"](spark, d).toPandas().set_index("doc_id").score
+    assert scores.index.is_unique and len(scores) == spark.read.parquet(f"{d}/documents.parquet").count()
+    votes = spark.read.parquet(f"{d}/page_labels.parquet").groupBy("doc_id").avg("abusive").toPandas().set_index("doc_id")["avg(abusive)"]
+    assert scores[votes.index[votes > 0.5]].mean() > 2 * scores[votes.index[votes < 0.5]].mean()
+    assert QUERIES["p10_found"](spark, d).columns == ["doc_id"]

@@ -7,6 +7,7 @@ from conftest import SMALL
 
 from weftlink.llm import topn, value_counts
 from weftlink.llm.queries import ORACLE, QUERIES
+from weftlink.operators.blocking import FLAGS
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,7 @@ def test_top_n_of_nothing(spark):
 
 
 def test_fold_pairs_ors_flags(spark):
-    cols = "s1_id string, other_id string, source string, " + ", ".join(f"{c} int" for c in topn.WEIGHTS)
+    cols = "s1_id string, other_id string, source string, " + ", ".join(f"{c} int" for c in FLAGS)
     rows = [("s", "o", "S2", 1, None, 0, 0, 0, 0, 0, 0), ("s", "o", "S2", 0, 1, None, 0, 0, 0, 0, 0), ("s", None, "S2", 1, 1, 1, 1, 1, 1, 1, 1)]
     assert [tuple(r) for r in topn.fold_pairs(spark.createDataFrame(rows, cols)).collect()] == [("s", "S2", "o", 100 + 95 + 20)]
 
@@ -63,6 +64,29 @@ def test_value_counts_are_plain_counts(spark):
     assert got == {v: (c, len(records[v])) for v, c in n.items()}
 
 
+def test_many_ranges_of_scattered_ids(spark):
+    r = random.Random(2)
+    rows = [(f"w{r.randrange(6000):05}", f"r{r.randrange(50)}") for _ in range(15_000)] + [("w00007", f"r{i}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "v string, r string")
+    got = {x["value"]: (x["n_rows"], x["n_records"]) for x in value_counts.value_counts(df, "v", "r", width=2).collect()}  # about 2,800 ranges
+    n, records = Counter(v for v, _ in rows), defaultdict(set)
+    for v, k in rows:
+        records[v].add(k)
+    assert got == {v: (c, len(records[v])) for v, c in n.items()}
+
+
+def test_a_range_leaves_one_batch_of_sums():
+    import numpy as np
+    import pyarrow as pa
+
+    ids = np.random.default_rng(1).integers(0, 5000 * 4, 20_000)
+    ids.sort()
+    batches = [pa.record_batch([pa.array(x // 4), pa.array(x), pa.array(np.ones(len(x), np.int64)), pa.array(np.ones(len(x), np.int64))], names=list("abcd")) for x in np.array_split(ids, 7)]
+    out = list(value_counts._summed(4)(iter(batches)))
+    assert len(out) == len(np.unique(ids // 4)) and sum(b.num_rows for b in out) == len(np.unique(ids))
+    assert sum(sum(b.column(1).to_pylist()) for b in out) == 20_000
+
+
 def test_dictionary_is_dense_and_ordered(spark):
     df = spark.createDataFrame([(f"w{i % 700}",) for i in range(3000)] + [(None,)], "v string")
     rows = sorted(map(tuple, value_counts.dictionary(df, "v").collect()))

@@ -8,18 +8,22 @@ letters), and all else is array arithmetic over word codes. The features of a pa
   and fixed lists of insults, threats, group abuse and sexual words;
 * second-person words near insults; capitals; exclamation and masking signs; words with signs among their letters.
 
-The lexicon, the trees and the calibration are fitted on at most ``MOST_LABELS`` labelled pages; a labelled page gets its training features from a
-lexicon of the other folds, and the calibration is fitted on a fold the trees have not seen. Counting and scoring cover all pages.
+The lexicon, the trees and the calibration are fitted on at most ``MOST_LABELS`` labelled pages. A labelled page gets its training features
+from a lexicon of the other folds. The calibration is cross-fitted: the pages of each fold are scored by trees of the other folds,
+the isotonic curve is fitted on all these scores, and the trees that score the corpus are fitted on all labelled pages. Counting and scoring cover
+all pages.
 
 Nulls: a null, empty or blank text has no words and the lowest score. A null source is a source of its own. Repeated keys are scored row by row. Extra columns are ignored. Votes that tie leave the page
-out of the fit. With fewer than ten pages of either class, the score is the share of fixed-list words in the worst window.
+out of the fit. With fewer labelled pages of either class than folds nothing can be fitted, and every score is null.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,28 +31,35 @@ import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftlink.session import settle
+from weftlink.session import Scope, settle
 
 WINDOW, FOLDS = 12, 5
 #: Labelled pages and lexicon entries a fit uses at most.
 MOST_LABELS, MOST_ENTRIES = 50_000, 200_000
 
-# Words of abusive passages and of address, in four languages.
+# Common words of insult, threat, contempt of groups and sex, and of address, in four languages.
 LISTS = {
-    "insult": """idiot idiots moron morons cretin cretins imbecile imbeciles scum bastard bastards arsehole arseholes bitch whore whores slut sluts harlot swine swines sow cur curs louse lousy maggot maggots turd turds
-        shit filth filthy stinking rotten worthless brainless stupid ugly gutless pathetic lying wretch wretched dung degenerate degenerates cripples damned fool coward
-        salaud salauds connard connards truie gueule abruti abrutie menteur sale pute putain ordure ordures puant puantes cochon
-        puta putas puto cabron cabrones mentiroso cerda cerdo asqueroso asquerosa basura imbecil verguenza sucio sucias
-        arschloch arschlochern arsch schwein schweine dreckig dreckiges dreckigen verlogen verlogenes maul hure huren schlampe miststuck schmutzig schmutzige""",
-    "threat": """burn hang drown strangle shoot thrash horsewhip whip whipped beat kick slap spit kill throat bone bones cesspit
-        bruler brule pendre tuer fouet coups chasser noyer matar ahorcar colgar colgarlo quemar palos partir
-        schlagen schlage erschlagen knuppeln aufgeknupft aufhangen verbrennen zahne""",
-    "group": """tribe vermin rats breed breeding cleansed race inferior disease animals kind vermine betes race bande ratas crias gente pandilla ungeziefer balger gesindel pack rasse""",
-    "sexual": """naked nude thighs thrust moaned legs stripped undressed bare breasts cock cunt fuck fucking nue nues obscene obscenes desnuda desnudas desnudo calientes nackt nackte nackter weiber""",
-    "you": "you your yours yourself thou thee ye tu te toi ta ton tes vous votre usted ustedes ti du dich dir dein deine deinen euch",
+    "insult": """idiot idiots moron morons imbecile imbeciles cretin cretins scum bastard bastards asshole arsehole bitch bitches whore whores slut sluts swine pig pigs maggot maggots turd shit crap filth filthy
+        stinking rotten worthless stupid dumb ugly pathetic liar wretch degenerate fool fools coward cowards loser trash garbage disgusting disgrace
+        salaud salauds salope connard connards connasse abruti abrutie menteur menteuse sale pute putes putain ordure ordures cochon merde idiote imbeciles
+        puta putas puto cabron cabrones pendejo mentiroso mentirosa cerdo cerda asqueroso asquerosa basura imbecil sucio sucia mierda tonto
+        arschloch arsch schwein schweine dreckig dreckiges dreckiger verlogen hure huren schlampe schlampen miststuck schmutzig scheisse dumm trottel feigling""",
+    "threat": """kill hang burn drown strangle shoot beat stab whip kick slap smash choke throat bones blood
+        tuer pendre bruler noyer etrangler frapper battre
+        matar ahorcar quemar golpear pegar estrangular
+        toten umbringen erschlagen verbrennen schlagen aufhangen erwurgen ertranken""",
+    "group": """vermin rats animals savages inferior race breed breeding tribe disease plague parasites subhuman
+        vermine race betes sauvages parasites inferieure
+        ratas raza animales salvajes parasitos plaga inferior
+        ungeziefer gesindel rasse tiere ratten parasiten""",
+    "sexual": """naked nude sex sexual breasts thighs fuck fucking cock cunt pussy tits penis vagina undressed obscene
+        nue nues seins sexe baiser obscene obscenes
+        desnuda desnudas desnudo desnudos sexo tetas follar obsceno
+        nackt nackte nackter nackten ficken titten schwanz bruste""",
+    "you": "you your yours yourself thou thee thy ye tu te toi ta ton tes vous votre vos usted ustedes ti du dich dir dein deine deinen euch ihr",
 }
 # Signs that stand for letters, in misread or masked words.
 SIGNS = {"0": "o", "1": "i", "|": "i", "!": "i", "l": "i", "5": "s", "$": "s", "ſ": "s", "8": "b", "@": "a", "ı": "i", "œ": "oe", "ß": "ss", "c": "e", "'": "", "’": ""}
@@ -227,29 +238,37 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """(key, score): the calibrated probability that a page has an abusive passage."""
     spark = docs.sparkSession
     votes = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("key")).agg(F.avg(F.col(vote)).alias("m")).filter("m <> 0.5")
-    votes = votes.withColumn("r", F.xxhash64("key")).orderBy("r", "key").limit(MOST_LABELS).select("key", (F.col("m") > 0.5).cast("int").alias("y"), F.pmod("r", F.lit(FOLDS)).cast("int").alias("fold"))
-    # at most MOST_LABELS rows, so the side with labels is broadcast
+    votes = votes.withColumn("r", F.xxhash64("key")).orderBy("r", "key").limit(MOST_LABELS).select("key", (F.col("m") > 0.5).cast("int").alias("y"), "r")
     plain = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
-    known = plain.join(F.broadcast(votes), plain["id"] == votes["key"]).select("id", "t", "y", "fold")
-    labelled = settle(words(known, "id", "t", "y", "fold").dropDuplicates(["key"]))
-    by_class = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
     every = words(plain, "id", "t")
-    shape = "key long, x array<float>"
-    if min(by_class.get(0, 0), by_class.get(1, 0)) < 10:
-        empty = spark.sparkContext.broadcast([(np.zeros(0, np.uint64), np.zeros(0))])
-        x = every.select("key", "w", F.lit(0).alias("which")).mapInArrow(_featured(empty), shape)
-        scored = x.select("key", F.least(F.lit(1.0), F.col("x")[FEATURES.index("listed")] / WINDOW * 2).cast("double").alias("score"))
-    else:
+    with Scope() as scope:
+        # at most MOST_LABELS rows, so the side with labels is broadcast
+        known = plain.join(F.broadcast(votes), plain["id"] == votes["key"]).select("id", "t", "y", "r")
+        # folds hold equal shares of each class
+        fold = (F.row_number().over(Window.partitionBy("y").orderBy("r", "key")) % FOLDS).alias("fold")
+        labelled = settle(words(known, "id", "t", "y", "r").dropDuplicates(["key"]).select("key", "w", "y", fold))
+        by_class = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
+        if min(by_class.get(0, 0), by_class.get(1, 0)) < FOLDS:
+            return scope.keep(plain.select(F.col("id").alias(key), F.lit(None).cast("double").alias("score")))
         lexicons = spark.sparkContext.broadcast(fit_lexicons(labelled))
-        train = labelled.select("key", "w", F.col("fold").alias("which")).mapInArrow(_featured(lexicons), shape).join(labelled.select("key", "y", "fold"), "key")
-        train = settle(train.select(F.col("x"), F.col("y").cast("double").alias("y"), "fold")).select(array_to_vector("x").alias("features"), "y", "fold")
-        trees = GBTClassifier(labelCol="y", maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=3, seed=42).fit(train.filter("fold > 0").coalesce(1))
-        raw = vector_to_array("rawPrediction")[1]
-        held = trees.transform(train.filter("fold = 0").coalesce(1)).select(raw.alias("raw"), "y")
-        curve = IsotonicRegression(labelCol="y", featuresCol="raw").fit(held)
+        shape = "key long, x array<float>"
+        rows = labelled.select("key", "w", F.col("fold").alias("which")).mapInArrow(_featured(lexicons), shape).join(labelled.select("key", "y", "fold"), "key")
+        rows = settle(rows.select("x", F.col("y").cast("double").alias("y"), "fold").coalesce(1))  # at most MOST_LABELS rows
+        rows = rows.select(array_to_vector("x").alias("features"), "y", "fold")
+        raw = vector_to_array("rawPrediction")[1].alias("raw")
+        grow = lambda df: GBTClassifier(labelCol="y", maxIter=20, maxDepth=3, stepSize=0.2, minInstancesPerNode=3, seed=42).fit(df)
+
+        def held(f: int) -> DataFrame:
+            return settle(grow(rows.filter(F.col("fold") != f)).transform(rows.filter(F.col("fold") == f)).select(raw, "y"))
+
+        with ThreadPoolExecutor(FOLDS + 1) as pool:  # small jobs of one task each, side by side
+            trees = pool.submit(grow, rows)
+            unseen = reduce(DataFrame.unionByName, pool.map(held, range(FOLDS)))
+            trees = trees.result()
+        curve = IsotonicRegression(labelCol="y", featuresCol="raw").fit(unseen)
         x = every.select("key", "w", F.lit(FOLDS).alias("which")).mapInArrow(_featured(lexicons), shape)
-        scored = curve.transform(trees.transform(x.select("key", array_to_vector("x").alias("features"))).select("key", raw.alias("raw"))).select("key", F.col("prediction").alias("score"))
-    return scored.select(F.col("key").alias(key), F.round("score", 6).alias("score"))
+        scored = curve.transform(trees.transform(x.select("key", array_to_vector("x").alias("features"))).select("key", raw))
+        return scope.keep(scored.select(F.col("key").alias(key), F.round("prediction", 6).alias("score")))
 
 
 def rates(scored: DataFrame, docs: DataFrame, key: str = "doc_id", source: str = "source", least: float = 0.5) -> DataFrame:

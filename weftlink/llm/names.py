@@ -4,27 +4,26 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Callable, Iterator
 from math import log, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftlink.llm.records import fold
+from weftlink.session import settle
 
 N = 3
-#: Rarest grams of a name that make the keys of names without a place: their pairs.
-RARE = 8
 
-# Spellings in names that stand for one form.
+# Abbreviations in names and the words they stand for.
 FORMS = {
-    "pvt": "private", "p": "private", "ltd": "limited", "limted": "limited", "co": "company", "inc": "incorporated", "corp": "corporation", "bros": "brothers", "brs": "brothers", "dtrs": "daughters",
-    "intl": "international", "mfg": "manufacturing", "ind": "industries", "inds": "industries", "engg": "engineering", "engrg": "engineering", "eng": "engineering", "wks": "works", "strs": "stores",
-    "med": "medical", "tex": "textiles", "furn": "furniture", "constr": "construction", "const": "construction", "constn": "construction", "pharma": "pharmaceuticals", "ctr": "centre", "center": "centre",
-    "ptg": "printing", "prtg": "printing", "assoc": "associates", "assocs": "associates", "cons": "consulting", "consltg": "consulting", "agcy": "agency", "insur": "insurance", "svcs": "services", "transp": "transport",
+    "pvt": "private", "p": "private", "ltd": "limited", "co": "company", "inc": "incorporated", "corp": "corporation", "bros": "brothers",
+    "intl": "international", "mfg": "manufacturing", "ind": "industries", "inds": "industries", "engg": "engineering", "eng": "engineering", "wks": "works", "strs": "stores",
+    "med": "medical", "tex": "textiles", "furn": "furniture", "constr": "construction", "const": "construction", "pharma": "pharmaceuticals", "ctr": "centre", "center": "centre",
+    "ptg": "printing", "assoc": "associates", "assocs": "associates", "cons": "consulting", "agcy": "agency", "insur": "insurance", "svcs": "services", "transp": "transport",
     "autos": "automobiles", "1st": "first",
 }
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -39,101 +38,155 @@ def name_tokens(name: str | None) -> list[str]:
     return [FORMS.get(t, t) for t in _TOKEN.findall(s)]
 
 
-def grams(tokens: list[str]) -> list[int]:
-    """Codes of the letter n-grams of the tokens run together: below 36**3, so any table of them is bounded."""
-    s = "".join(tokens)
+def core(name: str | None) -> str:
+    """The tokens run together: names of one core have one vector."""
+    return "".join(name_tokens(name))
+
+
+def grams(s: str) -> list[int]:
+    """Codes of the letter n-grams of a core: below 36**3, so any table of them is bounded."""
     if len(s) < N:
         s = s.ljust(N, "0") if s else ""
     c = [_CODE[x] for x in s]
     return [(c[i] * 36 + c[i + 1]) * 36 + c[i + 2] for i in range(len(c) - 2)]
 
 
-def frequencies(names: DataFrame, name: str) -> dict[int, int]:
-    """In how many distinct names each n-gram occurs (at most 36**3 entries, by the size of the alphabet), and the number of names at -1."""
+def mapped(df: DataFrame, col: str, out: str, kind: T.DataType, f: Callable) -> DataFrame:
+    """``df`` with the column ``out``: ``f`` of each value of ``col``, over Arrow batches, each distinct value of a batch once."""
+    names_ = [*df.columns, out]
+    at = names_.index(col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            enc = b.column(at).dictionary_encode()
+            made = pa.array([f(x) for x in enc.dictionary.to_pylist()] + [f(None)], arrow)
+            where = enc.indices.fill_null(len(enc.dictionary))
+            yield pa.RecordBatch.from_arrays([*b.columns, made.take(where)], names_)
+
+    arrow = {T.StringType(): pa.string()}[kind]
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, kind)]))
+
+
+def cores(df: DataFrame, col: str, out: str = "core") -> DataFrame:
+    return mapped(df, col, out, T.StringType(), core)
+
+
+def frequencies(names: DataFrame, col: str = "core") -> dict[int, int]:
+    """In how many distinct cores each n-gram occurs (at most 36**3 entries, by the size of the alphabet), and the number of cores at -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for b in batches:
             for x in b.column(0).to_pylist():
-                total.update(set(grams(name_tokens(x))))
+                total.update(set(grams(x)))
                 total[-1] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array(list(total.values()), pa.int64())], ["g", "n"])
 
-    counted = names.select(F.col(name).alias("n")).filter("n IS NOT NULL").distinct().mapInArrow(run, "g int, n long")
+    counted = names.select(F.col(col).alias("n")).filter("n IS NOT NULL").distinct().mapInArrow(run, "g int, n long")
     return {r[0]: r[1] for r in counted.groupBy("g").agg(F.sum("n").alias("n")).collect()}
 
 
-def vector(name: str | None, df: dict[int, int]) -> dict[int, float]:
-    """Unit vector of a name: damped tf times the log of the inverse name frequency."""
-    tf = Counter(grams(name_tokens(name)))
+def vector(s: str, df: dict[int, int]) -> dict[int, float]:
+    """Unit vector of a core: damped tf times the log of the inverse name frequency."""
+    tf = Counter(grams(s))
     total = df.get(-1, 1) + 1
     w = {g: (1 + log(k)) * log(total / df.get(g, 1)) + 1e-6 for g, k in tf.items()}
     norm = sqrt(sum(x * x for x in w.values())) or 1.0
     return {g: x / norm for g, x in w.items()}
 
 
-def prefix(v: dict[int, float], df: dict[int, int], least: float) -> list[int]:
-    """The rarest grams, so many that what is left has a norm below ``least``: two vectors of cosine ``least`` share one of them.
-
-    That holds as all names take their grams in one order, by their frequency in all names.
+class Vectors:
+    """Vectors by core, made once as long as they are kept."""
+
+    def __init__(self, df: dict[int, int], most: int = 50_000):
+        self.df, self.most, self.known = df, most, {}
+
+    def of(self, s: str) -> dict[int, float]:
+        v = self.known.get(s)
+        if v is None:
+            if len(self.known) > self.most:
+                self.known.clear()
+            v = self.known[s] = vector(s, self.df)
+        return v
+
+    def cosine(self, a: str, b: str) -> float:
+        u, v = self.of(a), self.of(b)
+        if len(u) > len(v):
+            u, v = v, u
+        return sum(w * v[g] for g, w in u.items() if g in v)
+
+    def cosines(self, names: list[str]) -> np.ndarray:
+        """Cosines of all pairs of a bounded list."""
+        n = len(names)
+        if n <= 12:
+            out = np.eye(n)
+            for i in range(n):
+                for j in range(i):
+                    out[i, j] = out[j, i] = self.cosine(names[i], names[j])
+            return out
+        vs = [self.of(x) for x in names]
+        at = {g: i for i, g in enumerate({g for v in vs for g in v})}
+        m = np.zeros((n, len(at)))
+        for i, v in enumerate(vs):
+            m[i, [at[g] for g in v]] = list(v.values())
+        return m @ m.T
+
+
+def prefix(v: dict[int, float], df: dict[int, int], least: float) -> list[tuple[int, float, float]]:
+    """(gram, weight, norm of the grams after it), rarest first, until the norm left is below ``least``.
+
+    All names take their grams in one order, by frequency in all names. So the first gram two names share is in both prefixes
+    if their cosine is ``least`` or more, and there weight * weight + norm * norm reaches ``least``: no other
+    shared gram comes before it.
     """
     out, rest = [], 1.0
     for g, x in sorted(v.items(), key=lambda t: (df.get(t[0], 1), t[0])):
         if rest < least * least:
             break
-        out.append(g)
-        rest -= x * x
+        rest = max(0.0, rest - x * x)
+        out.append((g, x, sqrt(rest)))
     return out
 
 
-def keyed(df: DataFrame, freq, least: float, free: bool) -> DataFrame:
-    """(id, anchor, name) to (id, anchor, k): join keys from the prefix grams or, if ``free`` of a place, pairs of the rarest grams.
-
-    """
+def keyed(df: DataFrame, freq, least: float) -> DataFrame:
+    """(id, block, core) to (id, block, k, w, r): a row for each gram of the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = freq.value
+        vectors = Vectors(table, 1)
         for b in batches:
-            keys = []
-            for x in b.column(2).to_pylist():
-                v = vector(x, table)
-                if free:
-                    top = sorted(v, key=lambda g: (table.get(g, 1), g))[:RARE]
-                    keys.append([min(p) * 36**3 + max(p) for p in combinations(top, 2)] or [g * 36**3 for g in top])
-                else:
-                    keys.append(prefix(v, table, least))
+            keys = [prefix(vectors.of(x), table, least) for x in b.column(2).to_pylist()]
             take = pa.array([i for i, k in enumerate(keys) for _ in k], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array([x for k in keys for x in k], pa.int64())], ["id", "anchor", "k"])
+            g, w, r = (pa.array([x[i] for k in keys for x in k], t) for i, t in enumerate((pa.int32(), pa.float64(), pa.float64())))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), g, w, r], ["id", "block", "k", "w", "r"])
 
-    return df.select("id", "anchor", "name").mapInArrow(run, "id string, anchor string, k long")
+    return df.select("id", "block", "core").mapInArrow(run, "id long, block string, k int, w double, r double")
 
 
-def cosines(pairs: DataFrame, freq) -> DataFrame:
-    """``pairs`` (a, b, name_a, name_b, ...) with ``cos``."""
-    from pyspark.sql import types as T
+def similar(left: DataFrame, right: DataFrame, freq, least: float, once: bool = False) -> DataFrame:
+    """(a, b, cos): all pairs of different (id, block, core) of one block with a cosine of ``least`` or more; with ``once`` only a < b.
+
+    Exact: candidates share the first prefix gram they can share. Merge joins, so AQE splits the partition of a gram that very many names have.
+    """
+    x, y = keyed(left, freq, least).hint("merge").alias("x"), keyed(right, freq, least).alias("y")
+    bound = F.col("x.w") * F.col("y.w") + F.col("x.r") * F.col("y.r") >= least - 1e-9
+    other = F.col("x.id") < F.col("y.id") if once else F.col("x.id") != F.col("y.id")
+    on = (F.col("x.block") == F.col("y.block")) & (F.col("x.k") == F.col("y.k")) & other & bound
+    met = settle(x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    named = met.join(left.select(F.col("id").alias("a"), F.col("core").alias("core_a")).distinct().hint("merge"), "a")
+    named = named.join(right.select(F.col("id").alias("b"), F.col("core").alias("core_b")).distinct().hint("merge"), "b")
+    return cosines(named, freq).filter(F.col("cos") >= least).select("a", "b", "cos")
 
-    names = [*pairs.columns, "cos"]
-    ia, ib = names.index("name_a"), names.index("name_b")
-    schema = T.StructType([*pairs.schema.fields, T.StructField("cos", T.DoubleType())])
+
+def cosines(pairs: DataFrame, freq) -> DataFrame:
+    """``pairs`` (..., core_a, core_b) with ``cos``."""
+    names_ = [*pairs.columns, "cos"]
+    ia, ib = names_.index("core_a"), names_.index("core_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = freq.value
-        kept: dict[str, dict[int, float]] = {}
-
-        def vec(x: str) -> dict[int, float]:
-            if x not in kept:
-                if len(kept) > 50_000:
-                    kept.clear()
-                kept[x] = vector(x, table)
-            return kept[x]
-
-        for batch in batches:
-            out = np.empty(batch.num_rows)
-            for i, (x, y) in enumerate(zip(batch.column(ia).to_pylist(), batch.column(ib).to_pylist())):
-                u, v = vec(x), vec(y)
-                if len(u) > len(v):
-                    u, v = v, u
-                out[i] = sum(w * v[g] for g, w in u.items() if g in v)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names)
-
-    return pairs.mapInArrow(run, schema)
+        vectors = Vectors(freq.value)
+        for b in batches:
+            cos = [vectors.cosine(x, y) for x, y in zip(b.column(ia).to_pylist(), b.column(ib).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cos, pa.float64())], names_)
+
+    return pairs.mapInArrow(run, T.StructType([*pairs.schema.fields, T.StructField("cos", T.DoubleType())]))

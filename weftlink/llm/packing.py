@@ -8,7 +8,7 @@ for the next window. An item above the capacity is cut into full containers and
 item. Sorting by (curve number, key) lets copies that share a number, be they a third of all, fall into several partitions.
 
 Nulls: a null or zero size takes no room, and the item still gets a container; a null vector lies at the
-curve's start. Extra columns are ignored. An empty table gives an empty result.
+mean of all items. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -121,8 +121,11 @@ def _fill(capacity: int):
 
 
 def pack(df: DataFrame, key: str, size: str, vector: str, dims: int, capacity: int = 2048, partitions: int | None = None) -> DataFrame:
-    """(key, piece, container, start, size): where every item, or every piece of an item above ``capacity``, goes."""
-    partitions = partitions or max(1, task_count(df.sparkSession) // 4)
+    """(key, piece, container, start, size): where every item, or every piece of an item above ``capacity``, goes.
+
+    Each of the ``partitions`` (by default the session's shuffle partitions) leaves at most ``OPEN`` containers partly filled at its end.
+    """
+    partitions = partitions or task_count(df.sparkSession)
     items = curve_number(df.select(F.col(key).alias("key"), F.col(size).cast("long").alias("size"), F.col(vector).alias("vector")), "vector", dims)
     ordered = items.repartitionByRange(partitions, "curve", "key").sortWithinPartitions("curve", "key")
     # written at once: container numbers hold the task, so a later step must not run the tasks again

@@ -56,15 +56,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_matches(spark: SparkSession, d: str) -> DataFrame:
-    """Every matched pair of source 1 and sources 2 and 3, with its confidence."""
+    """Every assigned pair of source 1 and sources 2 and 3, with its confidence. A record of source 1 has at most 11 records in the others (TESTDATA)."""
     others = table(spark, d, "train_source2").unionByName(table(spark, d, "train_source3"))
-    pairs = record_match.match(table(spark, d, "train_source1"), others, "entity_id", "business_name", "business_address")
+    pairs = record_match.match(table(spark, d, "train_source1"), others, "entity_id", "business_name", "business_address", "country", capacity=11)
     return pairs.withColumnsRenamed({"a": "s1_id", "b": "other_id"})
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "train_matches").select(F.col("source1_entity_id").alias("s1_id"))
-    return p6_matches(spark, d).join(known, "s1_id", "left_anti").select("s1_id", "other_id")
+    sure = p6_matches(spark, d).filter(F.col("confidence") >= record_match.LEAST)
+    return sure.join(known, "s1_id", "left_anti").select("s1_id", "other_id")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -103,8 +104,10 @@ QUERIES: dict[str, Query] = {
     "p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found,
     "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p6_matches": p6_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill, "p10_scores": p10_scores, "p10_rates": p10_rates, "p10_found": p10_found}
 
-_FLAGS = " , ".join(f"max(coalesce({c},0)) AS {c}" for c in topn.WEIGHTS)
-_SCORE = " + ".join(f"{w}*{c}" for c, w in topn.WEIGHTS.items()) + f" + {topn.BONUS}*greatest(" + "+".join(topn.WEIGHTS) + " - 1, 0)"
+# Flags and weights, written out so that the SQL doesn't share the code's.
+_WEIGHTS = {"exact_name": 100, "exact_address": 95, "name_postal": 90, "addr_postal": 85, "postal": 70, "name_token": 65, "address_token": 60, "first2": 40}
+_FLAGS = " , ".join(f"max(coalesce({c},0)) AS {c}" for c in _WEIGHTS)
+_SCORE = " + ".join(f"{w}*{c}" for c, w in _WEIGHTS.items()) + " + 20*greatest(" + "+".join(_WEIGHTS) + " - 1, 0)"
 _TOPN = f"""
 WITH p AS (SELECT s1_id, source, other_id, {_FLAGS} FROM candidates WHERE other_id IS NOT NULL GROUP BY ALL),
 s AS (SELECT s1_id, source, other_id, CAST({_SCORE} AS INTEGER) AS score FROM p),

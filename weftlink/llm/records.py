@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 import unicodedata
 
-# Spellings of street types, units, landmarks and legal forms.
+# Words and abbreviations of postal addresses.
 STREET_TYPES = ["road", "street", "lane", "marg", "drive", "boulevard", "avenue", "rue", "chemin"]
 TYPE_SPELLINGS = {
-    "rd": "road", "raod": "road", "roda": "road", "roud": "road", "st": "street", "str": "street", "ln": "lane", "mg": "marg", "dr": "drive", "drv": "drive",
+    "rd": "road", "st": "street", "str": "street", "ln": "lane", "mg": "marg", "dr": "drive", "drv": "drive",
     "blvd": "boulevard", "boul": "boulevard", "bvd": "boulevard", "bd": "boulevard", "ave": "avenue", "av": "avenue", "aven": "avenue", "r": "rue", "che": "chemin", "chem": "chemin",
     "ch": "chemin", "mn": "main", "cr": "cross", "x": "cross", "ngr": "nagar", "col": "colony", "extn": "extension", "ext": "extension", "sec": "sector", "nr": "near", "opposite": "opp",
     "flr": "floor", "fl": "floor", "ste": "suite", "apt": "apartment", "jn": "junction", "jct": "junction", "junc": "junction",
@@ -19,6 +19,8 @@ LANDMARK_WORDS = ["off", "opp", "near", "behind", "above", "beside", "next"]
 LANDMARKS = ["water", "tank", "post", "office", "cinema", "temple", "railway", "gate", "school", "clock", "tower", "bus", "stand", "stop", "station", "bank", "hospital", "market", "bridge", "church", "mosque", "stadium", "college", "park", "hall"]
 LOCALITIES = ["colony", "nagar", "extension"]
 FILLERS = ["no", "plot", "pin", "zip", "h", "s", "hno", "sno", "the", "du", "de", "des", "la", "le", "les", "l", "d", "sur", "india", "usa", "us", "france", "f", "n", "e", "w", "north", "south", "east", "west", "main", "cross", "door", "number", "num", "house", "cedex", "code", "and"]
+# two neighbouring letters of a street type swapped
+TYPE_SPELLINGS |= {w[:i] + w[i + 1] + w[i] + w[i + 2 :]: w for w in STREET_TYPES if len(w) > 3 for i in range(len(w) - 1) if w[i] != w[i + 1]}
 _TYPES, _UNITS, _ORD, _LW, _LM, _LOC, _FILL = (frozenset(x) for x in (STREET_TYPES, UNITS, ORDINALS, LANDMARK_WORDS, LANDMARKS, LOCALITIES, FILLERS))
 
 _PIECE = re.compile(r"[a-z]+|\d+[a-z]*|[,;/\n|#-]")
@@ -34,14 +36,15 @@ def fold(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower().replace("œ", "oe").replace("ß", "ss")) if not unicodedata.combining(c))
 
 
-def address_parts(text: str | None) -> tuple[str, str, list[str], list[bool], list[str]]:
-    """(house number, postal code, words of street and town, which of them stand at a street type, words of landmark and locality)."""
+def address_parts(text: str | None) -> tuple[str, str, list[str], list[bool], list[str], str]:
+    """(house number, postal code, words of street and town, which of them stand at a street type, words of landmark and locality, unit)."""
     s = _PLUS4.sub(r"\1", fold(text or ""))
     s = _SPLIT_PIN.sub(r"\1\2", s).replace("n°", "no ").replace("’", "'")
     t = [TYPE_SPELLINGS.get(x, x) for x in _PIECE.findall(s)]
     main: list[tuple[str, int]] = []  # word and place in t
     side: list[str] = []
     numbers: list[tuple[str, int]] = []
+    unit = ""
     i, n = 0, len(t)
     while i < n:
         w = t[i]
@@ -59,6 +62,7 @@ def address_parts(text: str | None) -> tuple[str, str, list[str], list[bool], li
             while j < n and t[j] in ("no", "#", ".", "number", "-"):
                 j += 1
             if j < n and t[j][0].isdigit() and (w != "floor"):
+                unit = unit or t[j].lstrip("0")
                 i = j + 1
                 continue
         elif w in _ORD and i + 1 < n and t[i + 1] == "floor":
@@ -101,7 +105,7 @@ def address_parts(text: str | None) -> tuple[str, str, list[str], list[bool], li
         after = k > 0 and main[k - 1][0] in _TYPES and at > main[k - 1][1] + 1 and all(x in _FILL for x in t[main[k - 1][1] + 1 : at])
         words.append(w)
         street.append(before or after)
-    return *_numbers(t, numbers), words, street, side
+    return *_numbers(t, numbers), words, street, side, unit
 
 
 def _numbers(t: list[str], numbers: list[tuple[str, int]]) -> tuple[str, str]:

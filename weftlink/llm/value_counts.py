@@ -5,9 +5,9 @@
 2. Rows are folded by (block, value), a block being a hash range of records, so that every record lies in one block
    and record presence adds up; a value in a tenth of all rows leaves at most one row a block. The folded
    rows are encoded by a join with the dictionary.
-3. Each task adds its encoded rows into count arrays, one pair of arrays (occurrences, records) for each range of
-   ``WIDTH`` ids, and the arrays are summed by range in two steps, so no task gets more than a bounded number of arrays.
-4. The sums are exploded back into (id, value, n_rows, n_records).
+3. The encoded rows are partitioned by identifier range of ``WIDTH`` ids and sorted by it, so that a range lies in one task, with at most one
+   row for each of its ids and blocks. A task adds the blocks' rows of a range into one pair of count arrays (occurrences, records),
+   and turns it back into (id, value, n_rows, n_records) when the range ends: it never holds more than one pair.
 
 Nulls: a null value is counted in no case and has no id; a null record counts as a row, not as a record. The empty
 string is a value. Repeated rows count as rows and once as a record. Extra columns are ignored.
@@ -22,12 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.session import settle, task_count
+from weftlink.session import Scope, settle, task_count
 
 #: Ids in one count array.
 WIDTH = 4096
-#: Partial arrays of a range are first summed in so many groups.
-FAN = 32
 
 
 def dictionary(df: DataFrame, value: str) -> DataFrame:
@@ -45,72 +43,50 @@ def dictionary(df: DataFrame, value: str) -> DataFrame:
     return parts.select((F.col("m").bitwiseAND(F.lit((1 << 33) - 1)) + F.element_at(start, F.col("part"))).cast("long").alias("id"), "value")
 
 
-def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Encoded rows (id, occ, rec) into count arrays by range; what is held is bounded by ``most`` arrays, then passed on."""
-    held: dict[int, np.ndarray] = {}
-    most = 2000
-
-    def out() -> pa.RecordBatch:
-        keys = sorted(held)
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([held[k][0].tobytes() for k in keys], pa.binary()), pa.array([held[k][1].tobytes() for k in keys], pa.binary())], ["range", "occ", "rec"])
-
-    for b in batches:
-        ids, occ, rec = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        spans = ids // WIDTH
-        order = np.argsort(spans, kind="stable")
-        cuts = np.flatnonzero(np.diff(spans[order])) + 1
-        for part in np.split(order, cuts) if len(order) else []:
-            key = int(spans[part[0]])
-            if key not in held:
-                if len(held) >= most:
-                    yield out()
-                    held.clear()
-                held[key] = np.zeros((2, WIDTH), np.int64)
-            np.add.at(held[key][0], ids[part] % WIDTH, occ[part])
-            np.add.at(held[key][1], ids[part] % WIDTH, rec[part])
-    if held:
-        yield out()
-
-
-def _sum(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, head = np.zeros((2, WIDTH), np.int64), []
-    for b in batches:
-        head = [b.column(i)[0].as_py() for i in (0, 3)]
-        for k in (0, 1):
-            for x in b.column(k + 1):
-                total[k] += np.frombuffer(x.as_buffer(), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array([head[0]], pa.int64()), pa.array([total[0].tobytes()]), pa.array([total[1].tobytes()]), pa.array([head[1]], pa.int32())], ["range", "occ", "rec", "fan"])
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for r, o, c in zip(*(b.column(i) for i in range(3))):
-            occ, rec = np.frombuffer(o.as_buffer(), np.int64), np.frombuffer(c.as_buffer(), np.int64)
-            seen = np.flatnonzero(occ)
-            yield pa.RecordBatch.from_arrays([pa.array(seen + r.as_py() * WIDTH), pa.array(occ[seen]), pa.array(rec[seen])], ["id", "n_rows", "n_records"])
-
-
-def value_counts(df: DataFrame, value: str, record: str, blocks: int | None = None) -> DataFrame:
+def _summed(width: int):
+    """Encoded rows (range, id, occ, rec), sorted by range, to the sums of each id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = -1, np.zeros((2, width), np.int64)
+
+        def out() -> pa.RecordBatch:
+            seen = np.flatnonzero(total[0])
+            rows = pa.RecordBatch.from_arrays([pa.array(seen + at * width), pa.array(total[0][seen]), pa.array(total[1][seen])], ["id", "n_rows", "n_records"])
+            total[:] = 0
+            return rows
+
+        for b in batches:
+            spans, ids, occ, rec = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            cuts = np.flatnonzero(np.diff(spans)) + 1
+            for part in np.split(np.arange(len(ids)), cuts) if len(ids) else ():
+                if spans[part[0]] != at:
+                    if at >= 0:
+                        yield out()
+                    at = int(spans[part[0]])
+                place = ids[part] - at * width
+                total[0] += np.bincount(place, occ[part], width).astype(np.int64)
+                total[1] += np.bincount(place, rec[part], width).astype(np.int64)
+        if at >= 0:
+            yield out()
+
+    return run
+
+
+def value_counts(df: DataFrame, value: str, record: str, blocks: int | None = None, width: int = WIDTH) -> DataFrame:
     """(id, value, n_rows, n_records) of every distinct value."""
-    blocks = blocks or 4 * task_count(df.sparkSession)
+    tasks = task_count(df.sparkSession)
+    blocks = blocks or 4 * tasks
     rows = df.select(F.col(value).alias("value"), F.col(record).alias("r")).filter(F.col("value").isNotNull())
-    words = settle(dictionary(rows, "value"))
-    folded = (
-        rows.groupBy("value", "r").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("value", F.pmod(F.xxhash64("r"), F.lit(blocks)).alias("block"))
-        .agg(F.sum("n").alias("occ"), F.count("r").alias("rec"))
-    )
-    encoded = folded.join(words, "value").select("id", "occ", "rec")
-    arrays = encoded.mapInArrow(_arrays, "range long, occ binary, rec binary").withColumn("fan", F.pmod(F.spark_partition_id(), F.lit(FAN)).cast("int"))
-    kind = "range long, occ binary, rec binary, fan int"
-    once = arrays.groupBy("range", "fan").applyInArrow(_sum_table, kind)
-    twice = once.withColumn("fan", F.lit(0)).groupBy("range").applyInArrow(_sum_table, kind)
-    counts = twice.select("range", "occ", "rec").mapInArrow(_rows, "id long, n_rows long, n_records long")
-    return counts.join(words, "id").select("id", "value", "n_rows", "n_records")
-
-
-def _sum_table(t: pa.Table) -> pa.Table:
-    return pa.Table.from_batches(_sum((), iter(t.to_batches())))
+    with Scope() as scope:
+        words = settle(dictionary(rows, "value"))
+        folded = (
+            rows.groupBy("value", "r").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("value", F.pmod(F.xxhash64("r"), F.lit(blocks)).alias("block"))
+            .agg(F.sum("n").alias("occ"), F.count("r").alias("rec"))
+        )
+        encoded = folded.join(words, "value").select((F.col("id") / width).cast("long").alias("range"), "id", "occ", "rec")
+        counts = encoded.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_summed(width), "id long, n_rows long, n_records long")
+        return scope.keep(counts.hint("merge").join(words, "id").select("id", "value", "n_rows", "n_records"))
 
 
 def marked(counts: DataFrame, n_records: int, rarest: int = 3, share: float = 0.01) -> DataFrame:
