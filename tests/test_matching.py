@@ -39,7 +39,7 @@ def test_listed_and_checks(spark):
 
 def test_fit_needs_both_classes(spark):
     with pytest.raises(ValueError):
-        matching.fit(pairs(spark, [(1, 0.0)], "label int, f double"), features=["f"])
+        matching.fit(pairs(spark, [("a", 1, 0.0)], "s1_id string, label int, f double"), features=["f"])
 
 
 def test_splits_are_disjoint(spark):

@@ -5,6 +5,7 @@ from conftest import SMALL
 
 from weftlink.__main__ import main
 from weftlink.operators.entities import keyed
+from weftlink.plans.pipeline import Config, Run
 from weftlink.streaming.incremental import linked
 
 
@@ -23,10 +24,12 @@ def test_all_stages(spark, tmp_path):
     base = f"file://{tmp_path}"
     common = ["--data", base, "--artifacts", f"{base}/a", "--out", f"{base}/out", "--train-entities", "200", "--val-entities", "60"]
     main([*common, "--stage", "audit"])
-    main([*common, "--stage", "all", "--refit-mined"])
+    small = Config(base, f"{base}/a", f"{base}/out", 200, 60, trees=20, depth=4, refit_mined=True)
+    Run(spark, small).all()
     ids = pd.read_parquet(f"{SMALL}/train_source1.parquet").entity_id.nunique()
-    results = "".join(f.read_text() for f in (tmp_path / "out" / "matching_results").glob("part-*")).splitlines()
-    assert len(results) == ids + 1 and results[0] == "source1_entity_id\tmatched_entity_ids"
+    parts = [f.read_text().splitlines() for f in sorted((tmp_path / "out" / "matching_results").glob("part-*"))]
+    results = [line for lines in parts for line in lines[1:]]
+    assert len(results) == ids and results == sorted(results) and parts[0][0] == "source1_entity_id\tmatched_entity_ids"
     best = json.loads("".join(f.read_text() for f in (tmp_path / "a" / "best_threshold.json").glob("part-*")))
     assert 0.3 <= best["threshold"] <= 0.98 and best["macro_f05"] > 0.3
 

@@ -15,8 +15,8 @@ def test_tsv_round_trip(spark, tmp_path):
 
 
 def test_links(spark):
-    df = spark.createDataFrame([("a", "x, y,,x"), ("b", None), ("c", "")], tables.TRUTH)
-    assert sorted(map(tuple, tables.links(df).collect())) == [("a", "x"), ("a", "y")]
+    df = spark.createDataFrame([("a", "x, y,,x"), ("a", "[\"y\";'z,01']"), ("b", None), ("c", "none")], tables.TRUTH)
+    assert sorted(map(tuple, tables.links(df).collect())) == [("a", "x"), ("a", "y"), ("a", "z,01")]
 
 
 def test_store_reuses_only_what_fits(spark, tmp_path):

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftlink.operators.entities import tokens
+from weftlink.operators.heavy_keys import fragment_replicate_join
+from weftlink.session import settle
 
 # Flags, the columns of their keys and the posting caps; weights of the flags; bonus for each flag after the first.
 KEYS = {
@@ -69,6 +71,11 @@ def key_block(s1: DataFrame, others: DataFrame, block: str, config: BlockConfig
         few = o.groupBy("source", *cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= cap).drop("n")
         o = o.join(few, ["source", *cols], "left_semi")
     s = s1.filter(filled).select(F.col("entity_id").alias("s1_id"), "ckey", *cols)
+    if config.per_block is None:  # nothing bounds a key here, so the frequent ones are split
+        return fragment_replicate_join(o, s, [*cols, *_on(config)], "other_id").select("s1_id", "other_id", "source")
+    # of a key only the first few by other_id can be kept by anyone, so the others go before the join
+    first = Window.partitionBy("source", *cols, *_on(config)).orderBy("other_id")
+    o = o.withColumn("rn", F.row_number().over(first)).filter(F.col("rn") <= config.per_block).drop("rn")
     return _top(s.join(o, [*cols, *_on(config)]).select("s1_id", "other_id", "source"), config.per_block, F.col("other_id"))
 
 
@@ -89,7 +96,8 @@ def token_block(s1: DataFrame, others: DataFrame, block: str, config: BlockConfi
 
 
 def raw_blocks(s1: DataFrame, others: DataFrame, config: BlockConfig = TRAIN) -> DataFrame:
-    """All block hits, one flag set in each."""
+    """All block hits, one flag set in each. Both sides are read once for each block, so they are written down first."""
+    s1, others = settle(s1), settle(others)
     hits = [(b, key_block(s1, others, b, config)) for b in config.keys]
     if config.extended:
         hits += [(b, token_block(s1, others, b, config)) for b in TOKEN_FIELDS]

@@ -44,11 +44,20 @@ def workset(s1: DataFrame, total: int, val: int, val_share: int = 20) -> DataFra
 
 
 def entity_split(s1: DataFrame, share: float = 0.2) -> DataFrame:
-    """(entity_id, split): a validation set of ``max(1, int(n * share))`` entities, the first by md5."""
-    ids = s1.select("entity_id").distinct()
-    n = max(1, int(ids.count() * share))
-    first = ids.orderBy(F.md5("entity_id"), "entity_id").limit(n).withColumn("split", F.lit("val"))
-    return ids.join(first, "entity_id", "left").select("entity_id", F.coalesce("split", F.lit("train")).alias("split"))
+    """(entity_id, split): a validation set of ``max(1, int(n * share))`` entities, the first by md5.
+
+    Counts by the first three hex digits of the md5 (4,096 numbers) tell the range in which the cut lies; only that range is ranked.
+    """
+    ids = s1.select("entity_id").distinct().withColumns({"h": F.md5("entity_id"), "r": F.substring(F.md5("entity_id"), 1, 3)})
+    counts = sorted((r["r"], r["count"]) for r in ids.groupBy("r").count().collect())
+    left, edge = max(1, int(sum(n for _, n in counts) * share)), ""
+    for edge, n in counts:
+        if n >= left:
+            break
+        left -= n
+    last = ids.filter(F.col("r") == edge).withColumn("rn", F.row_number().over(Window.partitionBy("r").orderBy("h", "entity_id")))
+    ranked = last.select("entity_id", F.when(F.col("rn") <= left, "val").otherwise("train").alias("split"))
+    return ids.filter(F.col("r") != edge).select("entity_id", F.when(F.col("r") < edge, "val").otherwise("train").alias("split")).unionByName(ranked)
 
 
 def audit(sources: DataFrame) -> DataFrame:

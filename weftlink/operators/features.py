@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from weftlink.functions import similarity as sim
 from weftlink.operators.blocking import FLAGS
+from weftlink.session import settle
 
 TEXT = ["name_norm", "addr_norm", "postal", "name_first2", "addr_first2", "ckey"]
+# Names and order of the features.
 BLOCK_FEATURES = ["exact_name", "exact_address", "postal", "name_token", "address_token", "first2", "name_postal", "addr_postal"]
 FEATURES = [
     "name_lev", "name_token_sort", "name_token_set", "name_jaccard", "name_overlap", "name_exact", "name_first_token", "name_char3_jaccard", "name_char4_jaccard",
@@ -64,18 +66,25 @@ def features(pairs: DataFrame, entities: DataFrame) -> DataFrame:
     return edited(native(paired(pairs, entities))).select("s1_id", "other_id", "source", *FEATURES)
 
 
-def tfidf_cosine(pairs: DataFrame, entities: DataFrame, col: str, n: int = 3) -> DataFrame:
-    """(s1_id, other_id, source, cosine): letter n-gram vectors weighted by tf * (ln((1 + N) / (1 + df)) + 1), fitted on ``entities``."""
-    text = entities.filter(F.col(col) != "").select("entity_id", F.col(col).alias("t"))
+def tfidf_cosine(pairs: DataFrame, entities: DataFrame, col: str, n: int = 3, fitted_on: DataFrame | None = None) -> DataFrame:
+    """(s1_id, other_id, source, cosine): letter n-gram vectors weighted by tf * (ln((1 + N) / (1 + df)) + 1).
+
+    The weights are fitted on ``entities`` or, if given, on ``fitted_on`` (a training split); vectors are made only of the entities that stand in pairs.
+    """
     spans = F.when(F.length("t") < n, F.array("t")).otherwise(F.transform(F.sequence(F.lit(1), F.length("t") - n + 1), lambda i: F.substring(F.col("t"), i, n)))
-    tf = text.select("entity_id", F.explode(spans).alias("g")).groupBy("entity_id", "g").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    total = F.lit(text.count())
-    w = tf.join(df, "g").select("entity_id", "g", (F.col("tf") * (F.log((total + 1) / (F.col("df") + 1)) + 1)).alias("w"))
-    norm = w.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    vec = w.join(norm, "entity_id").groupBy("entity_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("g", (F.col("w") / F.col("norm")).alias("w"))))).alias("v"))  # a text's own grams: bounded by its length
-    left, right = vec.select(F.col("entity_id").alias("s1_id"), F.col("v").alias("v1")), vec.select(F.col("entity_id").alias("other_id"), F.col("v").alias("v2"))
+    text = lambda df: df.filter(F.col(col) != "").select("entity_id", F.col(col).alias("t"))
+    base = text(entities if fitted_on is None else fitted_on)
+    df = base.select(F.explode(F.array_distinct(spans)).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    total = F.lit(base.count())
+    used = pairs.select(F.col("s1_id").alias("entity_id")).union(pairs.select("other_id")).distinct()
+    tf = text(entities).join(used, "entity_id", "left_semi").select("entity_id", F.explode(spans).alias("g")).groupBy("entity_id", "g").agg(F.count(F.lit(1)).alias("tf"))
+    w = tf.join(df, "g", "left").select("entity_id", "g", (F.col("tf") * (F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1)).alias("w"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
+    vec = settle(w.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("g", "w"))).alias("v")).select("entity_id", F.col("v.g").alias("g"), F.transform("v", lambda x: x["w"] / norm).alias("w")))  # a text's own grams: bounded by its length
+    left, right = vec.toDF("s1_id", "g1", "w1"), vec.toDF("other_id", "g2", "w2")
     both = pairs.select("s1_id", "other_id", "source").join(left, "s1_id", "left").join(right, "other_id", "left")
     # products in the order of the grams, so that sums are the same on every run
-    dot = F.aggregate(F.array_sort(F.array_intersect(F.map_keys("v1"), F.map_keys("v2"))), F.lit(0.0), lambda acc, g: acc + F.element_at("v1", g) * F.element_at("v2", g))
+    shared = F.array_intersect("g1", "g2")
+    at = lambda g, w, x: F.element_at(w, F.array_position(g, x).cast("int"))
+    dot = F.aggregate(shared, F.lit(0.0), lambda acc, x: acc + at("g1", F.col("w1"), x) * at("g2", F.col("w2"), x))
     return both.select("s1_id", "other_id", "source", F.round(F.coalesce(dot, F.lit(0.0)), 6).alias("cosine"))

@@ -3,16 +3,17 @@
 A parsing expression grammar with ordered alternatives, run over Arrow batches::
 
     list     <- (filler / item)* end
-    item     <- absent / quoted / bare
+    item     <- absent / quoted / bracketed / bare
     quoted   <- '"' ('""' / !'"' .)* '"' &(filler / end)      the same with "'"
     absent   <- a word or sign for "no value" &(filler / end)
+    bracketed <- open list close                              a pair of one kind, nested to any depth
     bare     <- [letters digits - :]+
-    filler   <- open bracket / close bracket / any other character
+    filler   <- any other character, and a bracket or quote that no alternative takes
 
 An alternative that fails gives its input back. So a quote that is never closed, or whose
 closing quote is followed at once by a value, is read again as filler and what follows it as
-bare values; the values of such a list carry the flag ``quote``. Brackets that do not pair up give
-the flag ``bracket``.
+bare values; the values of such a list carry the flag ``quote``. A bracket that has no partner is filler too and gives the flag
+``bracket``; its inside is read alike as a list and as what follows filler, so nothing is read twice: open brackets wait on a stack.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def unpack(df: DataFrame, keys: list[str], packed: str, pos: str = "pos", value:
 
     ``pos`` counts from 1 over the values of a list. Null, empty and blank strings and strings
     of separators or "no value" words give no row; a value listed twice has two rows; rows that
-    repeat the same list under the same key give it once. Null keys are kept. Other columns are
+    repeat the same list under the same key give it once, with the flag of either packing. Null keys are kept. Other columns are
     ignored, whatever their names. A list is parsed whole, however long.
     """
     schema = T.StructType([*(T.StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(keys)), T.StructField("items", T.ArrayType(T.StructType([T.StructField("value", T.StringType()), T.StructField("flag", T.StringType())])))])
@@ -102,6 +103,7 @@ def unpack(df: DataFrame, keys: list[str], packed: str, pos: str = "pos", value:
     return (
         rows.mapInArrow(run, schema)
         .select(*names, F.posexplode("items").alias("pos", "item"))
-        .select(*[F.col(n).alias(k) for n, k in zip(names, keys)], (F.col("pos") + 1).alias(pos), F.col("item.value").alias(value), F.col("item.flag").alias(flag))
-        .distinct()
+        .groupBy(*names, "pos", F.col("item.value").alias("v"))
+        .agg(F.max("item.flag").alias("f"))
+        .select(*[F.col(n).alias(k) for n, k in zip(names, keys)], (F.col("pos") + 1).alias(pos), F.col("v").alias(value), F.col("f").alias(flag))
     )

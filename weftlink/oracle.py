@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from weftlink.functions.normalize import ACCENTS, ADDRESS_WORDS, NAME_WORDS, STOPWORDS
-from weftlink.operators.blocking import BONUS, FLAGS, KEYS, STRENGTH, TEST_ORDER, TOKEN_FIELDS
-from weftlink.operators.features import BLOCK_FEATURES
+# Fixed values, written out so that the SQL doesn't share those of the code under test.
+ACCENTS = ("àâäáãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+NAME_WORDS = {"pvt": "private", "ltd": "limited", "corp": "corporation", "co": "company", "inc": "incorporated"}
+ADDRESS_WORDS = {"rd": "road", "st": "street", "ave": "avenue", "blvd": "boulevard", "apt": "apartment", "fl": "floor", "sec": "sector", "nr": "near"}
+STOPWORDS = ["private", "limited", "company", "corporation", "incorporated", "and", "the", "of", "pvt", "ltd", "co", "inc"]
+KEYS = {
+    "exact_name": (("name_norm",), 1000), "exact_address": (("addr_norm",), 2000), "postal": (("postal",), 5000), "first2": (("name_first2",), 1000),
+    "name_postal": (("name_norm", "postal"), 3000), "addr_postal": (("addr_norm", "postal"), 3000),
+}
+TOKEN_FIELDS = {"name_token": ("name_norm", 2), "address_token": ("addr_norm", 1)}
+STRENGTH = {"exact_name": 100, "exact_address": 95, "name_postal": 90, "addr_postal": 85, "postal": 70, "name_token": 65, "address_token": 60, "first2": 40}
+BONUS = 20
+FLAGS = ["exact_name", "exact_address", "postal", "first2", "name_postal", "addr_postal", "name_token", "address_token"]
+TEST_ORDER = ["exact_name", "exact_address", "postal", "name_token", "address_token", "first2"]
+BLOCK_FEATURES = ["exact_name", "exact_address", "postal", "name_token", "address_token", "first2", "name_postal", "addr_postal"]
+ABSENT = ["none", "null", "nil", "nan", "na", "no match", "no matches", "no-match", "nomatch", "not found", "not matched", "unmatched", "empty", "nothing"]
 
 
 def _norm(x: str, words: dict[str, str], expand: bool = True, folded: bool = False) -> str:
@@ -67,7 +80,6 @@ def _candidates(blocks: dict[str, str], final: int, order: str) -> str:
 
 
 _TRAIN = {b: _key_block(b) for b in KEYS} | {b: _token_block(b) for b in TOKEN_FIELDS}
-_SHARE = "<= (SELECT count(*) * 0.0015 FROM o o2 WHERE o2.source = t_source)"
 _TEST = {b: _key_block(b, False, None) for b in ("exact_name", "exact_address", "postal", "first2")}
 
 
@@ -79,7 +91,12 @@ def _test_token(b: str) -> str:
 
 _TEST |= {b: _test_token(b) for b in TOKEN_FIELDS}
 
-_LINKS = "l AS (SELECT DISTINCT s1_id, other_id FROM (SELECT source1_entity_id AS s1_id, trim(unnest(string_split(coalesce(matched_entity_ids, ''), ','))) AS other_id FROM train_matches) WHERE other_id <> '')"
+# the values of a packed list: phrases for "no match", quoted values with doubled quotes, runs of letters, digits, hyphens and colons
+_CELL = r"""regexp_extract_all(regexp_replace(coalesce(matched_entity_ids, ''), '(?i)\b(n/a|n\.a\.?)', '', 'g'), '(?i:no match(?:es)?|not found|not matched)|"(?:[^"]|"")*"|''(?:[^'']|'''')*''|[\pL\pN:-]+')"""
+_BARE = """CASE WHEN x[1] = '"' THEN trim(replace(substr(x, 2, length(x) - 2), '""', '"')) WHEN x[1] = '''' THEN trim(replace(substr(x, 2, length(x) - 2), '''''', '''')) ELSE x END"""
+_VALUES = rf"""vals AS (SELECT k, [y for y in [{_BARE} for x in cell] if regexp_matches(y, '[\pL\pN]') AND lower(y) NOT IN ({', '.join(f"'{w}'" for w in ABSENT)})] AS v
+  FROM (SELECT DISTINCT source1_entity_id AS k, {_CELL} AS cell FROM train_matches))"""
+_LINKS = f"{_VALUES}, l AS (SELECT DISTINCT s1_id, other_id FROM (SELECT k AS s1_id, unnest(v) AS other_id FROM vals))"
 _CARD = f"WITH {_LINKS}, c AS (SELECT g.s1_id, count(l.other_id) AS n_matches FROM (SELECT DISTINCT source1_entity_id AS s1_id FROM train_matches) g LEFT JOIN l ON l.s1_id = g.s1_id GROUP BY g.s1_id)"
 
 _X = f"""WITH {_E}, {_P}, x AS (SELECT p.s1_id, p.other_id, p.source, {', '.join(f'p.{f} AS blk_{f}' for f in FLAGS)}, a.name_norm AS n1, b.name_norm AS n2, a.addr_norm AS a1, b.addr_norm AS a2, a.postal AS p1, b.postal AS p2,
@@ -101,6 +118,34 @@ _Y = _X + f", y AS (SELECT *, {_SET('n1')} AS nw1, {_SET('n2')} AS nw2, {_SET('a
 _SAME = lambda a, b: f"CAST({a} <> '' AND {a} = {b} AS INTEGER)::DOUBLE"
 _DIGITS = lambda x: f"[w for w in {x} if regexp_full_match(w, '[0-9]+')]"
 
+# edit similarities: the longest common subsequence, a row of the table at a time in the bits of one number of up to 126 bits
+def _lcs(a: str, b: str) -> str:
+    s, t = f"CASE WHEN length({a}) <= length({b}) THEN {a} ELSE {b} END", f"CASE WHEN length({a}) <= length({b}) THEN {b} ELSE {a} END"
+    full = f"((1::HUGEINT << length({s})::INTEGER) - 1)"
+    mask = f"coalesce(list_sum([(1::HUGEINT << (i - 1)::INTEGER) for i in range(1, length({s}) + 1) if substr({s}, i, 1) = c]), 0)::HUGEINT"
+    masks = f"[{mask} for c in string_split({t}, '')]"
+    row = f"list_reduce(list_prepend({full}, {masks}), lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full})"
+    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE length({s}) - bit_count({row}) END"
+
+
+def _ratio(n: str, a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 1.0::DOUBLE ELSE 2 * {n}::DOUBLE / (length({a}) + length({b})) END"
+
+
+def _edits(short: str, a: str, b: str) -> str:
+    """Relations with the similarities of every distinct pair of texts, the last one {short}e (a, b, lev, sort, set_)."""
+    words = lambda x: f"list_sort([w for w in string_split({x}, ' ') if w <> ''])"
+    join = lambda x: f"coalesce(array_to_string({x}, ' '), '')"
+    return f"""{short}1 AS (SELECT DISTINCT {a} AS a, {b} AS b FROM x), {short}2 AS (SELECT a, b, {join(words('a'))} AS sa, {join(words('b'))} AS sb, list_sort(list_distinct({words('a')})) AS wa, list_sort(list_distinct({words('b')})) AS wb FROM {short}1),
+    {short}3 AS (SELECT *, {join('[w for w in wa if list_contains(wb, w)]')} AS common, {join('[w for w in wa if NOT list_contains(wb, w)]')} AS da, {join('[w for w in wb if NOT list_contains(wa, w)]')} AS db FROM {short}2),
+    {short}4 AS (SELECT *, {_lcs('a', 'b')} AS l1, {_lcs('sa', 'sb')} AS l2, {_lcs('da', 'db')} AS l3, length(common) + CAST(common <> '' AS INTEGER) AS c1 FROM {short}3),
+    {short}e AS (SELECT a, b, {_ratio('l1', 'a', 'b')} AS lev, {_ratio('l2', 'sa', 'sb')} AS sort_, CASE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0::DOUBLE WHEN common <> '' AND (da = '' OR db = '') THEN 1.0::DOUBLE
+      ELSE greatest(1 - (length(da) + length(db) - 2 * l3)::DOUBLE / (2 * c1 + length(da) + length(db)), CASE WHEN common = '' THEN 0.0::DOUBLE
+        ELSE greatest(1 - (1 + length(da))::DOUBLE / (length(common) + c1 + length(da)), 1 - (1 + length(db))::DOUBLE / (length(common) + c1 + length(db))) END) END AS set_ FROM {short}4)"""
+
+
+_Z = f"{_X}, {_edits('n', 'n1', 'n2')}, {_edits('d', 'a1', 'a2')}, z AS (SELECT x.s1_id, x.other_id, x.source, ne.lev AS nl, ne.sort_ AS ns, ne.set_ AS nt, de.lev AS al, de.sort_ AS ds, de.set_ AS dt FROM x JOIN ne ON ne.a = x.n1 AND ne.b = x.n2 JOIN de ON de.a = x.a1 AND de.b = x.a2)"
+
 _L = f"""{_Y}, {_LINKS}, f AS (SELECT y.s1_id, y.other_id, y.source, {_SAME('n1', 'n2')} AS name_exact, {_SAME('a1', 'a2')} AS addr_exact, {_SAME('p1', 'p2')} AS postal_match, {_jac('nw1', 'nw2')} AS name_jaccard, {_jac('aw1', 'aw2')} AS addr_jaccard,
   CAST(l.s1_id IS NOT NULL AS INTEGER) AS label FROM y LEFT JOIN l ON l.s1_id = y.s1_id AND l.other_id = y.other_id WHERE y.s1_id IN (SELECT source1_entity_id FROM train_matches)),
 q AS (SELECT *, round(100 * name_exact + 90 * addr_exact + 80 * postal_match + 30 * name_jaccard + 20 * addr_jaccard, 6) AS hard,
@@ -122,6 +167,17 @@ WITH f AS (SELECT 'postal' AS key_field, postal AS key_value, entity_id FROM nor
 n AS (SELECT key_field, count(*) AS n FROM f GROUP BY key_field),
 s AS (SELECT key_field, key_value, count(*) AS n_rows, count(DISTINCT entity_id) AS n_entities FROM f GROUP BY key_field, key_value)
 """
+_SPLIT = "i AS (SELECT entity_id, row_number() OVER (ORDER BY md5(entity_id), entity_id) AS rn, count(*) OVER () AS n FROM (SELECT DISTINCT entity_id FROM train_source1)), sp AS (SELECT entity_id, CASE WHEN rn <= greatest(1, floor(n * 0.2)) THEN 'val' ELSE 'train' END AS split FROM i)"
+
+
+def _tfidf(col: str, fitted: str = "true") -> str:
+    return f"""WITH {_E}, {_P}, {_SPLIT}, x AS (SELECT entity_id, unnest(CASE WHEN length({col}) < 3 THEN [{col}] ELSE [substr({col}, i, 3) for i in range(1, length({col}) - 1)] END) AS g FROM e WHERE {col} <> ''),
+      tf AS (SELECT entity_id, g, count(*) AS tf FROM x GROUP BY ALL), df AS (SELECT g, count(*) AS df FROM tf WHERE {fitted} GROUP BY g), n AS (SELECT count(*) AS n FROM e WHERE {col} <> '' AND {fitted}),
+      w AS (SELECT entity_id, tf.g, tf * (ln((n + 1) / (coalesce(df, 0) + 1)) + 1) AS w FROM tf LEFT JOIN df ON df.g = tf.g CROSS JOIN n), v AS (SELECT entity_id, g, w / sqrt(sum(w * w) OVER (PARTITION BY entity_id)) AS w FROM w),
+      d AS (SELECT p.s1_id, p.other_id, sum(a.w * b.w) AS c FROM p JOIN v a ON a.entity_id = p.s1_id JOIN v b ON b.entity_id = p.other_id AND b.g = a.g GROUP BY ALL)
+      SELECT p.s1_id, p.other_id, p.source, round(coalesce(c, 0.0), 6) AS cosine FROM p LEFT JOIN d ON d.s1_id = p.s1_id AND d.other_id = p.other_id"""
+
+
 _FREQ = f"WITH {_E}, t AS ({_tok('o', 'name_norm')}), fr AS (SELECT source, token, count(*) AS postings, count(DISTINCT entity_id) AS n_entities FROM t GROUP BY source, token)"
 
 ORACLE: dict[str, str] = {
@@ -167,12 +223,19 @@ ORACLE: dict[str, str] = {
     "feat_exact": f"{_X} SELECT s1_id, other_id, source, {_SAME('n1', 'n2')} AS name_exact, {_SAME('a1', 'a2')} AS addr_exact, {_SAME('p1', 'p2')} AS postal_match, CAST(n1 <> '' AND split_part(n1, ' ', 1) = split_part(n2, ' ', 1) AS INTEGER)::DOUBLE AS name_first_token, {_SAME('nf1', 'nf2')} AS same_name_first2, {_SAME('af1', 'af2')} AS same_address_first2, CAST(c1 = c2 AS INTEGER)::DOUBLE AS same_country FROM x",
     "feat_house": f"{_Y}, z AS (SELECT *, {_DIGITS('aw1')} AS d1, {_DIGITS('aw2')} AS d2 FROM y) SELECT s1_id, other_id, source, {_jac('d1', 'd2')} AS house_overlap FROM z",
     "feat_flags": f"{_X} SELECT s1_id, other_id, source, {', '.join(f'blk_{b}::DOUBLE AS block_{b}' for b in BLOCK_FEATURES)} FROM x",
+    "feat_indel": f"{_Z} SELECT s1_id, other_id, source, round(nl, 6) AS name_lev, round(al, 6) AS addr_lev FROM z",
+    "feat_token_sort": f"{_Z} SELECT s1_id, other_id, source, round(ns, 6) AS name_token_sort, round(ds, 6) AS addr_token_sort FROM z",
+    "feat_token_set": f"{_Z} SELECT s1_id, other_id, source, round(nt, 6) AS name_token_set, round(dt, 6) AS addr_token_set FROM z",
+    "feat_cross": f"{_Z} SELECT s1_id, other_id, source, round(nl * al, 6) AS name_addr_product, round((nl + al) / 2, 6) AS name_addr_mean, round(abs(nl - al), 6) AS name_addr_gap FROM z",
     "feat_sorted_words": f"WITH {_E} SELECT entity_id, coalesce(array_to_string(list_sort([w for w in string_split(name_norm, ' ') if w <> '']), ' '), '') AS name_sorted, coalesce(array_to_string(list_sort([w for w in string_split(addr_norm, ' ') if w <> '']), ' '), '') AS addr_sorted FROM e",
-    "feat_tfidf_cosine": f"""WITH {_E}, {_P}, x AS (SELECT entity_id, unnest(CASE WHEN length(name_norm) < 3 THEN [name_norm] ELSE [substr(name_norm, i, 3) for i in range(1, length(name_norm) - 1)] END) AS g FROM e WHERE name_norm <> ''),
-      tf AS (SELECT entity_id, g, count(*) AS tf FROM x GROUP BY ALL), df AS (SELECT g, count(*) AS df FROM tf GROUP BY g), n AS (SELECT count(*) AS n FROM e WHERE name_norm <> ''),
-      w AS (SELECT entity_id, tf.g, tf * (ln((n + 1) / (df + 1)) + 1) AS w FROM tf JOIN df ON df.g = tf.g CROSS JOIN n), v AS (SELECT entity_id, g, w / sqrt(sum(w * w) OVER (PARTITION BY entity_id)) AS w FROM w),
-      d AS (SELECT p.s1_id, p.other_id, sum(a.w * b.w) AS c FROM p JOIN v a ON a.entity_id = p.s1_id JOIN v b ON b.entity_id = p.other_id AND b.g = a.g GROUP BY ALL)
-      SELECT p.s1_id, p.other_id, p.source, round(coalesce(c, 0.0), 6) AS cosine FROM p LEFT JOIN d ON d.s1_id = p.s1_id AND d.other_id = p.other_id""",
+    "feat_tfidf_cosine": _tfidf("name_norm"),
+    "feat_tfidf_address": _tfidf("addr_norm"),
+    "feat_tfidf_train": _tfidf("name_norm", "entity_id IN (SELECT entity_id FROM sp WHERE split = 'train')"),
+    "tsv_round_trip": f"WITH {_SRC} SELECT entity_id, nullif(business_name, '') AS business_name, nullif(business_address, '') AS business_address, nullif(country, '') AS country FROM src",
+    "tsv_results": f"{_RES} SELECT * FROM res",
+    "stored_entities": f"WITH {_E} SELECT source, count(*) AS n, count(DISTINCT ckey) AS n_countries FROM e GROUP BY source",
+    "incremental_links": f"""WITH {_E}, {_NORM}, f AS (SELECT name_norm FROM s WHERE name_norm <> '' GROUP BY name_norm HAVING count(*) <= 1000)
+      SELECT nz.entity_id, s.entity_id AS s1_id, 'exact_name' AS block FROM nz JOIN (SELECT entity_id, lower(trim(coalesce(country, ''))) AS ckey FROM train_source2) c USING (entity_id) JOIN s ON s.name_norm = nz.name_norm AND s.ckey = c.ckey JOIN f ON f.name_norm = nz.name_norm""",
     "labels": f"{_L} SELECT s1_id, other_id, source, label FROM q",
     "hard_negatives": f"{_L} SELECT s1_id, other_id, source, hard FROM neg",
     "train_sample": f"{_L} SELECT s1_id, other_id, source, label, hard FROM q WHERE label = 1 UNION ALL SELECT s1_id, other_id, source, label, hard FROM neg",
@@ -187,6 +250,7 @@ ORACLE: dict[str, str] = {
     "candidate_pairs": f"WITH {_E}, {_P} SELECT s.entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT p.other_id, ',' ORDER BY p.other_id), '') AS candidate_entity_ids FROM s LEFT JOIN p ON p.s1_id = s.entity_id GROUP BY s.entity_id",
     "validate_outputs": f"""{_RES} SELECT 'missing' AS "check", (SELECT count(*) FROM ids WHERE s1_id NOT IN (SELECT source1_entity_id FROM res)) AS bad UNION ALL SELECT 'repeated', (SELECT count(*) FROM (SELECT source1_entity_id FROM res GROUP BY ALL HAVING count(*) > 1))
       UNION ALL SELECT 'unknown', (SELECT count(*) FROM res WHERE source1_entity_id NOT IN (SELECT s1_id FROM ids)) UNION ALL SELECT 'not_candidates', (SELECT count(*) FROM (SELECT DISTINCT s1_id, other_id FROM q WHERE proba >= 0.5) z WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.s1_id = z.s1_id AND p.other_id = z.other_id))""",
+    "p7_found": f"WITH {_VALUES} SELECT DISTINCT k AS source1_entity_id, CAST(unnest(range(1, len(v) + 1)) AS INTEGER) AS pos, unnest(v) AS matched_id FROM vals",
     "p1_key_stats": _P1 + "SELECT key_field, key_value, n_rows, n_entities FROM s",
     "p1_found": _P1 + "SELECT s.key_field, key_value FROM s JOIN n ON n.key_field = s.key_field WHERE key_value <> '' AND n_rows >= 0.02 * n",
     "p1_join": """WITH s AS (SELECT token, count(*) AS token_rows FROM tokens WHERE token IS NOT NULL GROUP BY token HAVING count(DISTINCT entity_id) > 1)

@@ -23,8 +23,8 @@ class Config:
     out: str
     train_entities: int = 40_000
     val_entities: int = 10_000
-    trees: int = 30
-    depth: int = 5
+    trees: int = 300
+    depth: int = 7
     train_blocks: blocking.BlockConfig = field(default_factory=blocking.BlockConfig)
     test_blocks: blocking.BlockConfig = field(default_factory=blocking.BlockConfig)  # the same as in training; TEST_AS_WRITTEN is the other choice
     refit_mined: bool = False  # weigh negatives that the first model takes for matches, and fit again

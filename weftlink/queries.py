@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -12,8 +13,9 @@ from weftlink.functions import normalize as nz
 from weftlink.functions import similarity as sim
 from weftlink.operators import blocking, entities, features, heavy_keys, matching, packed_values
 from weftlink.oracle import ORACLE  # noqa: F401
-from weftlink.session import settle, table
-from weftlink.sources.tables import links
+from weftlink.session import settle, shared_dir, table
+from weftlink.sources.tables import TRUTH, Store, links, read_tsv, write_tsv
+from weftlink.streaming.incremental import linked
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -268,24 +270,29 @@ def feat_flags(spark: SparkSession, d: str) -> DataFrame:
     return features.native(_paired(spark, d)).select(*_KEY, *[f"block_{b}" for b in features.BLOCK_FEATURES])
 
 
+def _edits(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Edit similarities, rounded to what two engines can agree on."""
+    return features.edited(_paired(spark, d)).select(*_KEY, *[F.round(c, 6).alias(c) for c in columns])
+
+
 @query
 def feat_indel(spark: SparkSession, d: str) -> DataFrame:
-    return features.edited(_paired(spark, d)).select(*_KEY, "name_lev", "addr_lev")
+    return _edits(spark, d, "name_lev", "addr_lev")
 
 
 @query
 def feat_cross(spark: SparkSession, d: str) -> DataFrame:
-    return features.edited(_paired(spark, d)).select(*_KEY, "name_addr_product", "name_addr_mean", "name_addr_gap")
+    return _edits(spark, d, "name_addr_product", "name_addr_mean", "name_addr_gap")
 
 
 @query
 def feat_token_sort(spark: SparkSession, d: str) -> DataFrame:
-    return features.edited(_paired(spark, d)).select(*_KEY, "name_token_sort", "addr_token_sort")
+    return _edits(spark, d, "name_token_sort", "addr_token_sort")
 
 
 @query
 def feat_token_set(spark: SparkSession, d: str) -> DataFrame:
-    return features.edited(_paired(spark, d)).select(*_KEY, "name_token_set", "addr_token_set")
+    return _edits(spark, d, "name_token_set", "addr_token_set")
 
 
 @query
@@ -298,6 +305,19 @@ def feat_tfidf_cosine(spark: SparkSession, d: str) -> DataFrame:
     return features.tfidf_cosine(_pairs(spark, d), _entities(spark, d), "name_norm")
 
 
+@query
+def feat_tfidf_address(spark: SparkSession, d: str) -> DataFrame:
+    return features.tfidf_cosine(_pairs(spark, d), _entities(spark, d), "addr_norm")
+
+
+@query
+def feat_tfidf_train(spark: SparkSession, d: str) -> DataFrame:
+    """Names, with weights fitted on the training split of source 1 alone."""
+    split = entities.entity_split(table(spark, d, "train_source1")).filter("split = 'train'")
+    e = _entities(spark, d)
+    return features.tfidf_cosine(_pairs(spark, d), e, "name_norm", fitted_on=e.join(split, "entity_id", "left_semi"))
+
+
 @query
 def pair_features_all(spark: SparkSession, d: str) -> DataFrame:
     return features.features(_pairs(spark, d), _entities(spark, d))
@@ -394,12 +414,58 @@ def validate_outputs(spark: SparkSession, d: str) -> DataFrame:
     return matching.output_checks(matching_results(spark, d), _truth_ids(spark, d), predicted, _pairs(spark, d))
 
 
+# -- files, stages and arrivals
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/weftlink/{uuid.uuid4().hex}"
+
+
+@query
+def tsv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The sources written as tab-separated text and read again by schema, an empty field as null."""
+    path = _folder(spark)
+    cols = ["entity_id", "business_name", "business_address", "country"]
+    write_tsv(_sources(spark, d).select(*cols), path, "entity_id")
+    return read_tsv(spark, path, multi_line=True)
+
+
+@query
+def tsv_results(spark: SparkSession, d: str) -> DataFrame:
+    """The match lists written in order and read again with empty lists as they are."""
+    path = _folder(spark)
+    write_tsv(matching_results(spark, d), path, "source1_entity_id")
+    return read_tsv(spark, path, TRUTH, False)
+
+
+@query
+def stored_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Entities through the store: made once, then read by the key of their configuration."""
+    store = Store(spark, _folder(spark))
+    make = lambda: _entities(spark, d)
+    store.table("entities", {"data": d}, make)
+    return store.table("entities", {"data": d}, make).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ckey").alias("n_countries"))
+
+
+@query
+def incremental_links(spark: SparkSession, d: str) -> DataFrame:
+    """Records of source 2 arriving in a stream, linked to the stored entities of source 1 by equal name."""
+    path = _folder(spark)
+    table(spark, d, "train_source2").write.parquet(f"{path}/in")
+    schema = table(spark, d, "train_source2").schema
+    arrivals = linked(spark.readStream.schema(schema).parquet(f"{path}/in"), _sides(spark, d)[0])
+    run = arrivals.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out")
+    run.awaitTermination()
+    return spark.read.schema("entity_id string, s1_id string, block string").parquet(f"{path}/out")
+
+
+# -- classifier
 @query
 def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of a boosted-tree model on its own labelled pairs (a model has no SQL)."""
-    rows = settle(matching.label(features.features(_pairs(spark, d), _entities(spark, d)).join(_truth_ids(spark, d), "s1_id", "left_semi"), _links(spark, d)))
-    sample = matching.sample_weights(matching.train_sample(rows))
-    return matching.score(matching.fit(sample, trees=10, depth=4), rows)
+    """Scores of a boosted-tree model on the pairs of held-out entities, which it has not seen (a model has no SQL)."""
+    pairs = _pairs(spark, d).join(_truth_ids(spark, d), "s1_id", "left_semi")
+    rows = settle(matching.label(features.features(pairs, _entities(spark, d)), _links(spark, d)))
+    held = entities.entity_split(rows.select(F.col("s1_id").alias("entity_id"))).filter("split = 'val'").select(F.col("entity_id").alias("s1_id"))
+    sample = matching.sample_weights(matching.train_sample(rows.join(held, "s1_id", "left_anti")))
+    return matching.score(matching.fit(sample), rows.join(held, "s1_id", "left_semi"))
 
 
 # -- problem 1: a few keys holding most records

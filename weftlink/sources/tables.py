@@ -9,14 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftlink.operators.packed_values import unpack
+
 SOURCE = T.StructType([T.StructField(c, T.StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 TRUTH = T.StructType([T.StructField(c, T.StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
 SCORED = T.StructType([*(T.StructField(c, T.StringType()) for c in ("s1_id", "other_id", "source")), T.StructField("proba", T.DoubleType())])
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType = SOURCE, empty_as_null: bool = True) -> DataFrame:
-    """A tab-separated file with header. All columns come by the schema, none is inferred; quotes are doubled inside quotes."""
-    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"'} | ({"nullValue": ""} if empty_as_null else {"nullValue": "\u0000", "emptyValue": ""})
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType = SOURCE, empty_as_null: bool = True, multi_line: bool = False) -> DataFrame:
+    """A tab-separated file with header. All columns come by the schema, none is inferred; quotes are doubled inside quotes.
+
+    ``multi_line`` reads line ends inside quotes as text; a file is then one task.
+    """
+    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": multi_line} | ({"nullValue": ""} if empty_as_null else {"nullValue": "\u0000", "emptyValue": ""})
     df = spark.read.schema(schema).options(**options).csv(path)
     return df if empty_as_null else df.na.fill("")
 
@@ -26,15 +31,15 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path).na.fill("")
 
 
-def links(truth: DataFrame, sep: str = ",") -> DataFrame:
-    """(s1_id, other_id): distinct ids of the lists, items trimmed, empty items dropped."""
-    items = truth.select(F.col("source1_entity_id").alias("s1_id"), F.explode(F.split(F.coalesce("matched_entity_ids", F.lit("")), sep)).alias("other_id"))
-    return items.withColumn("other_id", F.trim("other_id")).filter("other_id <> ''").distinct()
+def links(truth: DataFrame) -> DataFrame:
+    """(s1_id, other_id): the distinct ids of the packed lists, whatever their delimiters, quotes and brackets."""
+    items = unpack(truth, ["source1_entity_id"], "matched_entity_ids", value="other_id")
+    return items.select(F.col("source1_entity_id").alias("s1_id"), "other_id").distinct()
 
 
 def write_tsv(df: DataFrame, path: str, *order: str) -> None:
-    """One tab-separated file with header, ordered; empty strings are written as nothing."""
-    (df.orderBy(*order) if order else df).coalesce(1).write.mode("overwrite").options(sep="\t", header=True, emptyValue="", quote='"', escape='"').csv(path)
+    """Tab-separated files with header; with ``order`` each holds a range, and the part numbers follow it. Empty strings are written as nothing."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").options(sep="\t", header=True, emptyValue="", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 class Store:
