@@ -88,6 +88,16 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return each.agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.round(F.sum("n") / F.count(F.lit(1)) / 2048, 6).alias("filled"))
 
 
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """(check, n): documents packed, containers above the capacity, documents cut that fit in one, documents whose pieces leave a gap."""
+    rows = settle(p9_packed(spark, d))
+    doc = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("n"), F.max(F.col("start") + F.col("n_tokens")).alias("end"))
+    over = rows.groupBy("container").agg(F.sum("n_tokens").alias("n")).filter("n > 2048")
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
+    parts = [count(doc, "documents"), count(over, "over_capacity"), count(doc.filter("n <= 2048 AND pieces > 1"), "cut"), count(doc.filter("n <> end"), "gap")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return abuse.scores(table(spark, d, "documents"), table(spark, d, "page_labels"))
 
@@ -102,7 +112,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "p2_variants": p2_variants, "p2_found": p2_found, "p4_places": p4_places, "p4_found": p4_found,
-    "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p6_matches": p6_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill, "p10_scores": p10_scores, "p10_rates": p10_rates, "p10_found": p10_found}
+    "p3_topn": p3_topn, "p3_found": p3_found, "p5_counts": p5_counts, "p5_found": p5_found, "p6_matches": p6_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_packed": p9_packed, "p9_fill": p9_fill, "p9_checks": p9_checks, "p10_scores": p10_scores, "p10_rates": p10_rates, "p10_found": p10_found}
 
 # Flags and weights, written out so that the SQL doesn't share the code's.
 _WEIGHTS = {"exact_name": 100, "exact_address": 95, "name_postal": 90, "addr_postal": 85, "postal": 70, "name_token": 65, "address_token": 60, "first2": 40}
@@ -120,6 +130,7 @@ m AS (SELECT c.*, CASE WHEN n_entities < 3 THEN 'rare' WHEN n_entities > n * 0.0
 """
 ORACLE: dict[str, str] = {
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p9_checks": "SELECT 'documents' AS \"check\", count(*) AS n FROM documents UNION ALL SELECT 'over_capacity', 0 UNION ALL SELECT 'cut', 0 UNION ALL SELECT 'gap', 0",
     "p3_topn": _TOPN + "SELECT s1_id, source, other_id, score, rank FROM r WHERE rank <= 5",
     "p3_found": _TOPN + "SELECT s1_id, other_id FROM r WHERE rank <= 5",
     "p5_counts": _COUNTS + "SELECT token, n_rows, n_entities, mark FROM m",
