@@ -1,11 +1,13 @@
 import json
 
+import oracle
 import pandas as pd
 from conftest import SMALL
 
 from weftlink.__main__ import main
-from weftlink.operators.entities import keyed
+from weftlink.operators.entities import keyed, normalize
 from weftlink.plans.pipeline import Config, Run
+from weftlink.queries import ORACLE, QUERIES
 from weftlink.streaming.incremental import linked
 
 
@@ -43,3 +45,16 @@ def test_stream_equals_batch(spark, tmp_path):
     q.stop()
     got, batch = spark.table("arrived"), linked(src, stored)
     assert got.count() == batch.count() > 0 and got.exceptAll(batch).count() == 0
+
+
+def test_repeated_ids_in_a_stream_equal_sql(spark, tmp_path):
+    """An id in two rows is linked by each of its names under the country of each of its rows."""
+    cols = ["entity_id", "business_name", "business_address", "country"]
+    arriving = [("S2-1", "Acme Ltd", "1 A st", "US"), ("S2-1", "Acme Ltd", "1 A st", " us"), ("S2-2", "Acme Ltd", "", "IN"), ("S2-2", "Bolt Co", "", "US"), ("S2-3", "Bolt Co", "", None), ("S2-4", None, "", "US")]
+    stored = [("S1-1", "Acme Ltd", "", "us"), ("S1-2", "Bolt Co", "", "US"), ("S1-3", "bolt company", "", None)]
+    for k, rows in ((1, stored), (2, arriving), (3, [("S3-1", "Acme Ltd", "", "US")])):
+        pd.DataFrame(rows, columns=cols).to_parquet(tmp_path / f"train_source{k}.parquet")
+    raw = spark.createDataFrame(stored + arriving, "entity_id string, business_name string, business_address string, country string")
+    normalize(raw).toPandas().to_parquet(tmp_path / "normalized_entity.parquet")
+    assert oracle.differences(spark, oracle.connect(str(tmp_path)), QUERIES["incremental_links"], ORACLE["incremental_links"], str(tmp_path)) == ""
+    assert QUERIES["incremental_links"](spark, str(tmp_path)).count() == 7

@@ -447,11 +447,11 @@ def stored_entities(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def incremental_links(spark: SparkSession, d: str) -> DataFrame:
-    """Records of source 2 arriving in a stream, linked to the stored entities of source 1 by equal name."""
+    """Records of source 2 arriving in a stream, linked to the stored entities of source 1 by equal name and the countries of their id."""
     path = _folder(spark)
-    table(spark, d, "train_source2").write.parquet(f"{path}/in")
-    schema = table(spark, d, "train_source2").schema
-    arrivals = linked(spark.readStream.schema(schema).parquet(f"{path}/in"), _sides(spark, d)[0])
+    rows = table(spark, d, "train_source2")
+    rows.write.parquet(f"{path}/in")
+    arrivals = linked(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), _sides(spark, d)[0], countries=rows)
     run = arrivals.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out")
     run.awaitTermination()
     return spark.read.schema("entity_id string, s1_id string, block string").parquet(f"{path}/out")
