@@ -1,3 +1,6 @@
+import random
+from dataclasses import replace
+
 import pytest
 
 from weftlink.operators import blocking, entities, matching
@@ -72,3 +75,22 @@ def test_caps_hold(spark):
     assert {r["source"]: r["count"] for r in c.groupBy("source").count().collect()} == {"S2": 30, "S3": 30}
     assert blocking.key_block(s1, o, "exact_name").count() == 80
     assert blocking.candidates(s1.limit(0), o).count() == 0
+
+
+def test_flag_ranking_equals_all_pairs_without_joining_them(spark, monkeypatch):
+    """Blocks without caps: the same rows as over all pairs, from a join that grows with the entities and not with their pairs."""
+    rnd = random.Random(5)
+    pick = lambda a, n: f"{a}{rnd.randrange(n)}"
+    rows = []
+    for k in range(240):
+        name, address = f"{pick('name', 3)} {pick('word', 4)} {pick('last', 40)}", f"{pick('street', 3)} {pick('town', 5)} {k // 2}" if k % 9 else ""
+        rows.append((f"S{k % 3 + 1}-{k:04d}", f"S{k % 3 + 1}", rnd.choice(["us", "us", "in"]), name, address, rnd.choice(["", "10000", "10000", "10000", "20000"]), " ".join(name.split()[:2]), ""))
+    every = spark.createDataFrame(rows, "entity_id string, source string, ckey string, name_norm string, addr_norm string, postal string, name_first2 string, addr_first2 string")
+    s1, others = every.filter("source = 'S1'"), every.filter("source <> 'S1'")
+    for config in (replace(blocking.TEST_AS_WRITTEN, token_share=0.3, final=4), replace(blocking.TEST_AS_WRITTEN, token_share=0.3, final=4, country=False, extended=False)):
+        full = blocking.bounded(blocking.consolidate(blocking.raw_blocks(s1, others, config)), config)
+        assert full.exceptAll(blocking.candidates(s1, others, config)).isEmpty() and blocking.candidates(s1, others, config).count() == full.count() > 300
+    joined, join = [], blocking.fragment_replicate_join
+    monkeypatch.setattr(blocking, "fragment_replicate_join", lambda *a, **k: joined.append(join(*a, **k)) or joined[-1])
+    blocking.candidates(s1, others, replace(blocking.TEST_AS_WRITTEN, token_share=0.3, final=1, extended=False)).count()
+    assert sum(df.count() for df in joined) < 1000
