@@ -1,6 +1,8 @@
 import random
 from itertools import combinations, permutations, product
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -230,6 +232,37 @@ def test_matches_do_not_depend_on_the_blocks(spark):
     assert small == whole and {(a, b) for a, b, _ in whole} >= {("S1-5", b) for b, *_ in copies}
 
 
+def test_a_range_streams_by_and_meets_all_neighbours():
+    r = random.Random(3)
+    rows = [(0, f"{i:06}", f"r{i:06}", r.random() < 0.2 and not 9_000 < i < 40_000, "newstar", "", "", "", "") for i in range(120_000)]
+    table = pa.table({c: list(x) for c, x in zip(("block", "key", "id", "own", *record_match._FIELDS), zip(*rows))})
+    table = table.set_column(0, "block", table["block"].cast(pa.int32()))
+    read, held, got, edge = 0, 0, set(), []
+
+    def batches():
+        nonlocal read
+        for b in table.to_batches(max_chunksize=5_000):
+            read += len(b)
+            yield b
+
+    for out in record_match._inside(2, SimpleNamespace(value={-1: 1}))(batches()):
+        for x in out.to_pylist():
+            got |= {(x["a"], x["b"])} if x["a"] else set()
+            edge += [] if x["a"] else [x["id"]]
+            at = int((x["b"] or x["id"])[1:])
+            if at > 50_000:
+                held = max(held, read - at)
+    mine = [x[2] for x in rows if x[3]]
+    before = 0
+    want = set()
+    for x in rows:
+        before += x[3]
+        if not x[3] and 2 <= before <= len(mine) - 2:
+            want |= {(a, x[2]) for a in mine[before - 2 : before + 2]}
+    assert got == want and len(edge) == len(set(edge)) < 100 and set(edge) >= {*mine[:4], *mine[-4:]}
+    assert held <= 2 * record_match.AT_ONCE + 5_000  # of a long range, no more is kept at a time
+
+
 @pytest.mark.parametrize("seed,capacity", [(0, 1), (2, 2)])
 def test_assignment_of_records_is_near_the_greatest_total(spark, seed, capacity):
     r = random.Random(seed)
