@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import combinations, permutations, product
 from types import SimpleNamespace
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from weftlink.llm import linkage, name_variants, names, places, record_match
 from weftlink.llm.queries import QUERIES
 from weftlink.llm.records import address_parts
+from weftlink.session import settle
 
 
 @pytest.mark.parametrize(
@@ -59,6 +61,34 @@ def test_places(spark):
     assert places.places(df.limit(0), "entity_id", "address").collect() == []
 
 
+@pytest.mark.parametrize("most,part", [(1000, 1000), (1000, 7), (30, 1000)])
+def test_words_of_a_code_meet_in_one_task_or_by_the_join(spark, monkeypatch, most, part):
+    monkeypatch.setattr(places, "PART", part)
+    r = random.Random(4)
+    base = ["vundentisk", "gardenwala", "hill", "church", "lake"]
+    words = sorted({(p, "".join(c for c in w if r.random() > 0.1)) for p in ("1", "2") for w in base for _ in range(20 if p == "1" else 3)} - {("1", ""), ("2", "")})
+    rows = [(p, w, r.randint(1, 9), r.randint(9, 40)) for p, w in words]
+    df = spark.createDataFrame(rows, "postal string, w string, n long, all long")
+    want = set()
+    for (p, w, n, all_), (q, c, bn, ball) in permutations(rows, 2):
+        rarer = ball > 4 * all_ or (all_ <= 2 * n and (bn > n or (bn == n and c < w)) and len(w) > 5)
+        if p == q and places.deletions(w) & places.deletions(c) and rarer and bn >= n:
+            want.add((p, w, c, bn))
+    assert sum(p == "1" for p, _ in words) > 30 > sum(p == "2" for p, _ in words)
+    assert {tuple(x) for x in places._near_in_code(df, most).collect()} == want
+
+
+def test_settling_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x.getName() for x in (lambda files: [files.apply(i) for i in range(files.size())])(disk.getAllFiles()) if x.getName().startswith("shuffle_")}
+    before = shuffled()
+    settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:  # the files go in the background
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+
 def naive_average_linkage(n, sims, least):
     clusters = {i: [i] for i in range(n)}
     while True:
