@@ -1,6 +1,7 @@
 import random
 import time
 from itertools import combinations, permutations, product
+from pathlib import Path
 from types import SimpleNamespace
 
 import pyarrow as pa
@@ -158,6 +159,16 @@ def test_sparse_join_is_the_full_comparison(spark, least):
     assert all(abs(m[i, j] - v.cosine(cores[i], cores[j])) < 1e-9 for i, j in combinations(range(len(cores)), 2))
 
 
+def test_sparse_join_keeps_none_of_its_candidates(spark, monkeypatch):
+    cores, table = words_table()
+    df = spark.createDataFrame([(i, "", c) for i, c in enumerate(cores)], "id long, block string, core string")
+    made = []
+    monkeypatch.setattr(names, "settle", lambda x: (made.append(t := settle(x)), t)[1])
+    got = names.similar(df, df, spark.sparkContext.broadcast(table), 0.75).count()
+    left = [t for t in made if Path(t.settled_at.removeprefix("file://")).exists()]
+    assert len(left) < len(made) and sum(t.count() for t in left) == got
+
+
 def test_one_task_and_rounds_give_the_same_clusters(spark):
     r = random.Random(9)
     base = ["Gridirippan Consultants", "New Star Traders", "New Star Sweets", "Royal Printing Press"]
