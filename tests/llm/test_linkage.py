@@ -324,6 +324,22 @@ def test_the_greatest_total_where_the_next_choice_has_room(spark):
     assert {(x["a"], x["b"]) for x in got} == {("q", "u"), ("p", "v"), ("r", "w")}
 
 
+def test_rounds_of_the_assignment_keep_few_tables(spark, monkeypatch):
+    made, alive = [], []
+    there = lambda t: Path(t.settled_at.removeprefix("file://")).exists()
+
+    def watched(df):
+        made.append(settle(df))
+        alive.append(sum(there(t) for t in made))
+        return made[-1]
+
+    monkeypatch.setattr(record_match, "settle", watched)
+    pairs = [(f"a{i}", f"b{j}", 1.0 - i / 10) for i in range(4) for j in range(4)]
+    got = record_match.assign(spark.createDataFrame(pairs, "a string, b string, confidence double"), 1).collect()
+    assert len({r["a"] for r in got}) == len({r["b"] for r in got}) == len(got) == 4
+    assert len(made) > 8 and max(alive) <= 4
+
+
 def test_carried_rows_are_the_nearest():
     r = random.Random(1)
     counts = [("k", b, r.choice((0, 0, 0, 1, 3, 9)), 1) for b in range(60)]
